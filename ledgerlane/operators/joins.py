@@ -16,7 +16,7 @@ _SALT = "__salt"
 def planned_size(df: DataFrame) -> int | None:
     """The planner's size estimate in bytes, None where the session does not expose it."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # a remote session has no local plan
         return None
 
@@ -92,7 +92,11 @@ def with_group_total(df: DataFrame, value: str, keys: list[str], name: str) -> D
     return spread_join(df, totals, keys)
 
 
-def join_on_expression(left: DataFrame, left_key: Column, right: DataFrame, right_key: Column, how: str = "inner") -> DataFrame:
-    """Equi join on a computed key; the key is computed once per side and then dropped."""
+def join_on_expression(large: DataFrame, large_key: Column, dim: DataFrame, dim_key: Column, how: str = "inner") -> DataFrame:
+    """Equi join on a computed key; the key is computed once per side and then dropped.
+
+    ``dim`` should have few rows per key: aggregate it to the key first when only totals matter.
+    """
     name = "__join_key"
-    return left.withColumn(name, left_key).join(right.withColumn(name, right_key), [name], how).drop(name)
+    spread_by = large.columns
+    return spread_join(large.withColumn(name, large_key), dim.withColumn(name, dim_key), [name], how, spread_by).drop(name)

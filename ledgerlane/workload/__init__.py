@@ -2,5 +2,9 @@
 
 from . import (  # noqa: F401  (each module registers its queries)
     portfolio_queries,
+    masking_queries,
+    relational_queries,
+    scalar_queries,
+    trip_queries,
 )
 from .registry import QUERIES, SQL  # noqa: F401

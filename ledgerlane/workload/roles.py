@@ -96,6 +96,37 @@ ALERT_ROWS = f"""alert_rows AS (
 ALERTS = f"{ALLOC}, {ALERT_ROWS}"
 
 
+TRIPS = """trips AS (
+  SELECT event_id, user_id, ts AS starttime, CAST(round(value) AS INTEGER) AS tripduration, event_type AS usertype,
+    concat('station ', CAST(user_id % 60 AS VARCHAR)) AS start_station_name,
+    40.60 + (user_id % 97) * 0.002 AS start_station_latitude, -74.05 + (user_id % 89) * 0.002 AS start_station_longitude,
+    40.60 + (event_id % 83) * 0.002 AS end_station_latitude, -74.05 + (event_id % 79) * 0.002 AS end_station_longitude
+  FROM events)"""
+CITIES = {"0": 5128638, "1": 4887398, "2": 5368361}
+CONDITIONS = ["Clear", "Clouds", "Rain", "Snow", "Mist"]
+OBSERVATIONS = """obs AS (
+  SELECT event_id, ts, CASE event_id % 3 WHEN 0 THEN 5128638 WHEN 1 THEN 4887398 ELSE 5368361 END AS station_id,
+    CASE WHEN event_id % 7 <> 0 THEN CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds'
+      WHEN 2 THEN 'Rain' WHEN 3 THEN 'Snow' ELSE 'Mist' END END AS weather,
+    CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id
+  FROM events WHERE event_type = 'view')"""
+RUNS = """runs AS (
+  SELECT concat('STEP_', CAST(user_id % 5 AS VARCHAR)) AS name,
+    CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'SKIPPED' WHEN 'click' THEN 'EXECUTING' ELSE 'SUCCEEDED' END AS state,
+    date_trunc('second', ts) + CAST(event_id % 1000 AS INTEGER) * INTERVAL 1 MICROSECOND AS scheduled_time,
+    CASE WHEN event_type <> 'click' THEN date_trunc('second', ts) + CAST(floor(value) AS INTEGER) * INTERVAL 1 SECOND
+      + CAST(event_id % 1000 AS INTEGER) * INTERVAL 1 MICROSECOND END AS completed_time,
+    CASE WHEN event_type = 'error' THEN CAST(event_id % 9 AS VARCHAR) END AS error_code,
+    CASE WHEN event_type = 'error' THEN concat('failed ', props) END AS error_message
+  FROM events)"""
+CONTACTS = """contacts AS (
+  SELECT c_custkey AS customer_id, c_name AS customer_name,
+    CASE WHEN c_custkey % 11 <> 0 THEN concat(lower(replace(c_name, '#', '.')), '@mail', CAST(c_custkey % 7 AS VARCHAR), '.example') END AS email,
+    CASE WHEN c_custkey % 13 <> 0 THEN concat('090-', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0'), '-', lpad(CAST(c_custkey * 7 % 10000 AS VARCHAR), 4, '0')) END AS phone,
+    c_mktsegment AS risk_tolerance, CASE WHEN c_custkey % 3 = 0 THEN 'PUBLIC' WHEN c_custkey % 3 = 1 THEN 'PRIVATE' END AS visibility
+  FROM customer)"""
+
+
 class Roles:
     """Role tables over one data folder."""
 
@@ -155,8 +186,8 @@ class Roles:
 
     @cached_property
     def targets(self) -> DataFrame:
-        rows = self.spark.createDataFrame(TARGETS, "risk_tolerance string, sector string, target_ratio double")
-        return rows.withColumn("target_ratio", F.col("target_ratio").cast("decimal(5,2)"))
+        rows = ", ".join(f"('{a}', '{b}', CAST({c} AS DECIMAL(5,2)))" for a, b, c in TARGETS)
+        return self.spark.sql(f"SELECT * FROM VALUES {rows} AS t(risk_tolerance, sector, target_ratio)")
 
     @cached_property
     def positions(self) -> DataFrame:
@@ -183,3 +214,70 @@ class Roles:
 
         closed = F.when(F.col("customer_id") % 5 == 0, "CLOSED").otherwise("OPEN")
         return alerts(self.allocation, self.customers, self.as_of).withColumn("alert_status", closed)
+
+    @cached_property
+    def trips(self) -> DataFrame:
+        """Events as trips: the value is the duration, places follow from the ids."""
+        rider, event = F.col("user_id"), F.col("event_id")
+
+        def degrees(base: float, number, modulus: int):
+            # Decimal arithmetic first, so that both engines start from the same double.
+            return (F.lit(base).cast("decimal(6,2)") + (number % modulus) * F.lit(0.002).cast("decimal(4,3)")).cast("double")
+
+        return self.table("events").select(
+            "event_id", "user_id", F.col("ts").alias("starttime"), F.round("value").cast("int").alias("tripduration"),
+            F.col("event_type").alias("usertype"),
+            F.concat(F.lit("station "), (rider % 60).cast("string")).alias("start_station_name"),
+            degrees(40.60, rider, 97).alias("start_station_latitude"), degrees(-74.05, rider, 89).alias("start_station_longitude"),
+            degrees(40.60, event, 83).alias("end_station_latitude"), degrees(-74.05, event, 79).alias("end_station_longitude"),
+        )
+
+    @cached_property
+    def observations(self) -> DataFrame:
+        """View events as weather observations, one nested JSON text each."""
+        k = F.get_json_object("props", "$.k").cast("int")
+        event = F.col("event_id")
+        condition = F.lit(CONDITIONS[4])
+        for i in range(3, -1, -1):
+            condition = F.when(k % 5 == i, CONDITIONS[i]).otherwise(condition)
+        station = F.when(event % 3 == 0, CITIES["0"]).when(event % 3 == 1, CITIES["1"]).otherwise(CITIES["2"])
+        weather = F.when(event % 7 != 0, F.array(F.struct(
+            condition.alias("main"), F.concat(F.lit("sky "), F.lower(condition)).alias("description"), F.lit("01d").alias("icon"))))
+        body = F.struct(
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time"),
+            F.struct(station.alias("id"), F.concat(F.lit("city "), (event % 3).cast("string")).alias("name"), F.lit("US").alias("country"),
+                     F.struct((k * 0.5).alias("lat"), (k * -0.25).alias("lon")).alias("coord")).alias("city"),
+            F.struct(k.alias("all")).alias("clouds"),
+            F.struct((k + 250.5).alias("temp"), (k + 240.25).alias("temp_min"), (k + 260.75).alias("temp_max")).alias("main"),
+            weather.alias("weather"),
+            F.struct(F.col("user_id").cast("double").alias("deg"), (k * 0.125).alias("speed")).alias("wind"),
+        )
+        return self.table("events").filter(F.col("event_type") == "view").select("event_id", F.to_json(body).alias("body"))
+
+    @cached_property
+    def runs(self) -> DataFrame:
+        """Events as runs of the daily chain."""
+        kind = F.col("event_type")
+        micros = F.make_interval(secs=(F.col("event_id") % 1000 / 1000000).cast("decimal(18,6)"))
+        second = F.date_trunc("second", "ts")
+        length = F.make_interval(secs=F.floor("value").cast("decimal(18,6)"))
+        return self.table("events").select(
+            F.concat(F.lit("STEP_"), (F.col("user_id") % 5).cast("string")).alias("name"),
+            F.when(kind == "error", "FAILED").when(kind == "signup", "SKIPPED").when(kind == "click", "EXECUTING").otherwise("SUCCEEDED").alias("state"),
+            (second + micros).alias("scheduled_time"),
+            F.when(kind != "click", second + length + micros).alias("completed_time"),
+            F.when(kind == "error", (F.col("event_id") % 9).cast("string")).alias("error_code"),
+            F.when(kind == "error", F.concat(F.lit("failed "), "props")).alias("error_message"),
+        )
+
+    @cached_property
+    def contacts(self) -> DataFrame:
+        key = F.col("c_custkey")
+        digits = lambda n: F.lpad((n % 10000).cast("string"), 4, "0")
+        return self.table("customer").select(
+            key.alias("customer_id"), F.col("c_name").alias("customer_name"),
+            F.when(key % 11 != 0, F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@mail"), (key % 7).cast("string"), F.lit(".example"))).alias("email"),
+            F.when(key % 13 != 0, F.concat(F.lit("090-"), digits(key), F.lit("-"), digits(key * 7))).alias("phone"),
+            F.col("c_mktsegment").alias("risk_tolerance"),
+            F.when(key % 3 == 0, "PUBLIC").when(key % 3 == 1, "PRIVATE").alias("visibility"),
+        )
