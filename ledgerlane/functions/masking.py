@@ -11,7 +11,7 @@ from .numeric import as_column
 # The roles that see clear text, the mask texts and the open visibility mark.
 PRIVILEGED_ROLES = ("ACCOUNTADMIN", "SYSADMIN")
 FULL_MASK = "********"
-EMAIL_LOCAL_PART = ".+@"
+EMAIL_LOCAL_PART = "(?m)^.+@"  # anchored: one try per line, linear also on long texts without @
 EMAIL_MASK = "*****@"
 PHONE_MASK = "***-****-"
 PHONE_VISIBLE_DIGITS = 4

@@ -33,7 +33,9 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: tuple[str, Co
 
     There is no delete: an old key missing from ``new`` is kept. ``stamp`` is a column set on
     every row that was inserted or updated. Columns only ``old`` has keep their value on update.
+    The types are those of ``old``, the table; a new value that does not fit them is an error.
     """
+    types = {f.name: f.dataType for f in old.schema.fields}
     stamp_name = stamp[0] if stamp else None
     present = F.col(_NEW).isNotNull()
     columns = []
@@ -42,7 +44,7 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: tuple[str, Co
         if name == stamp_name:
             columns.append(F.when(present, stamp[1]).otherwise(kept).alias(name))
         elif name in new.columns:
-            columns.append(F.when(present, F.col(f"{_NEW}.{name}")).otherwise(kept).alias(name))
+            columns.append(F.when(present, F.col(f"{_NEW}.{name}").cast(types[name])).otherwise(kept).alias(name))
         else:
             columns.append(kept.alias(name))
     return paired(old, new, keys).select(*columns)

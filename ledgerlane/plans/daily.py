@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.tables import read_or_empty, replace_partitions, upsert
+from ..operators.tables import replace_partitions, table_exists, upsert
 from ..sources.delimited import CsvFormat, fields, load_rows, tag_rows
 from ..sources.sinks import append
 from ..streaming.loader import load_log
@@ -41,7 +41,7 @@ TARGET_FIELDS = fields(("risk_tolerance", "string"), ("sector", "string"), ("tar
 LOG_SCHEMA = (
     StructType()
     .add("table_name", "string").add("check_type", "string").add("check_result", "string")
-    .add("affected_rows", "bigint").add("details", "string").add("check_timestamp", "timestamp")
+    .add("affected_rows", "long").add("details", "string").add("check_timestamp", "timestamp")
 )
 
 
@@ -56,7 +56,10 @@ class DailyTables:
 
 
 def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    return read_or_empty(spark, path, like.schema).select(*like.columns)
+    """The table as written, or an empty one with the schema of ``like``."""
+    if not table_exists(spark, path):
+        return spark.createDataFrame([], like.schema)
+    return spark.read.parquet(path).select(*like.columns)
 
 
 def upsert_day(path: str, rows: DataFrame, keys: list[str], date_column: str, as_of: Column, now: Column) -> DataFrame:

@@ -56,7 +56,7 @@ class PositionState:
     buckets: int = BUCKETS
 
     def table_schema(self) -> StructType:
-        return StructType([*self.schema.fields]).add("bucket", "int")
+        return StructType([*self.schema.fields]).add("bucket", "integer")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_or_empty(spark, self.path, self.table_schema())

@@ -56,7 +56,7 @@ def fn_right(r: Roles) -> DataFrame:
 SELECT doc_id, md5(regexp_replace(text, '[^\n\r]+@', '*****@', 'g')) AS v FROM documents""")
 def fn_regexp_replace(r: Roles) -> DataFrame:
     """The mask pattern over whole documents; each line is replaced up to its last @."""
-    return r.table("documents").select("doc_id", F.md5(F.regexp_replace("text", r"[^\n\r]+@", masking.EMAIL_MASK)).alias("v"))
+    return r.table("documents").select("doc_id", F.md5(F.regexp_replace("text", r"(?m)^[^\n\r]+@", masking.EMAIL_MASK)).alias("v"))
 
 
 @query("fn_sha2", "SELECT doc_id, sha256(text) AS v FROM documents")
