@@ -130,15 +130,16 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage: bool = True) -> None:
     """Swap exactly the partitions that occur in ``df``; all other partitions stay.
 
     ``df`` may read from ``path``: it is written to the shared folder before anything in ``path``
-    is touched, so a failed run can be repeated from there.
+    is touched, so a failed run can be repeated from there. ``stage=False`` is for rows that are a
+    written table already.
     """
-    staged = materialize(df, "staged", partition_by)
+    rows = materialize(df, "staged") if stage else df
     (
-        staged.write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)

@@ -81,7 +81,7 @@ class PositionState:
             self.read(spark).filter(F.col("bucket").isin(touched)).select(*columns).write.mode("overwrite").parquet(image)
         before = spark.read.schema(schema).parquet(image)
         after = materialize(merge_newest(before, changes, POSITION_KEY).select(*columns), "after")
-        replace_partitions(after, self.path, ["bucket"])
+        replace_partitions(after, self.path, ["bucket"], stage=False)
         return before, after, touched
 
 
@@ -112,7 +112,7 @@ def refresh_summary(
         fresh = materialize(fresh, "summary")
         # One mark per touched bucket, so that a bucket that became empty is replaced as well.
         marks = spark.createDataFrame([(b,) for b in touched], "bucket int")
-        replace_partitions(fresh.unionByName(marks, allowMissingColumns=True), summary_path, ["bucket"])
+        replace_partitions(fresh.unionByName(marks, allowMissingColumns=True), summary_path, ["bucket"], stage=False)
         parts = fresh.groupBy("bucket", "risk_tolerance").agg(
             F.count(F.lit(1)).alias("customer_count"),
             F.sum("overall_return_pct").alias("sum_return"),
@@ -120,7 +120,7 @@ def refresh_summary(
             F.sum("total_investment").alias("total_investment"),
             F.sum("total_current_value").alias("total_current_value"),
         )
-        replace_partitions(parts.unionByName(marks, allowMissingColumns=True), segment_path, ["bucket"])
+        replace_partitions(parts.unionByName(marks, allowMissingColumns=True), segment_path, ["bucket"], stage=False)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     return start(writer, trigger)
