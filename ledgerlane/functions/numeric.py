@@ -15,7 +15,10 @@ EXACT = "decimal(28,6)"
 
 
 def as_column(value) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+    """A column name, a column, or any other value as a literal."""
+    if isinstance(value, str):
+        return F.col(value)
+    return value if isinstance(value, Column) else F.lit(value)
 
 
 def guarded_ratio(numerator, denominator) -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.numeric import as_column
 from ..functions.temporal import elapsed
 from .joins import key_counts, rows_not_in, rows_without_parent
 
@@ -66,7 +67,7 @@ def fk_check(child: DataFrame, table: str, key: str, parent: DataFrame, parent_k
 def check_log(checks: list[DataFrame], at: Column) -> DataFrame:
     """All check rows with their time, ready to append to the log."""
     rows = reduce(DataFrame.unionByName, checks)
-    return rows.select(*LOG_COLUMNS).withColumn("check_timestamp", at.cast("timestamp"))
+    return rows.select(*LOG_COLUMNS).withColumn("check_timestamp", as_column(at).cast("timestamp"))
 
 
 def report(log: DataFrame, failed_only: bool = False) -> DataFrame:
@@ -131,7 +132,7 @@ def metrics(df: DataFrame, table: str, spec: list[tuple[str, str | None]], as_of
     return (
         df.agg(*cells)
         .select(F.explode(rows).alias("r"))
-        .select(as_of.cast("timestamp").alias("measurement_time"), F.lit(table).alias("table_name"), "r.*")
+        .select(as_column(as_of).cast("timestamp").alias("measurement_time"), F.lit(table).alias("table_name"), "r.*")
     )
 
 
@@ -139,7 +140,7 @@ def fk_metric(child: DataFrame, table: str, key: str, parent: DataFrame, parent_
     """Custom metric over a table: keys that are NOT IN the parent, with SQL's NULL rules."""
     orphans = rows_not_in(key_counts(child, [key]), key, parent, parent_key)
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("value")).select(
-        as_of.cast("timestamp").alias("measurement_time"),
+        as_column(as_of).cast("timestamp").alias("measurement_time"),
         F.lit(table).alias("table_name"),
         F.lit(name).alias("metric_name"),
         F.lit(key).alias("column_name"),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import mean_of
+from ..functions.numeric import as_column, mean_of
 from ..functions.text import NEWLINE, joined
 from ..operators.joins import spread_join
 from ..operators.latest import top_per_key
@@ -46,12 +48,12 @@ def action_text(sector, deviation) -> Column:
     )
 
 
-def alerts(alloc: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
+def alerts(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """One alert per flagged allocation row of the day (without status)."""
     flagged = alloc.filter((F.col("snapshot_date") == as_of) & F.col("rebalance_flag"))
     named = spread_join(flagged, customers.select("customer_id", "customer_name", "sales_rep"), ["customer_id"], spread_by=["sector"])
     return named.select(
-        as_of.cast("date").alias("alert_date"), "customer_id", "customer_name", "risk_tolerance", "sales_rep", "sector",
+        as_column(as_of).cast("date").alias("alert_date"), "customer_id", "customer_name", "risk_tolerance", "sales_rep", "sector",
         F.col("allocation_ratio").alias("current_ratio"), "target_ratio", "deviation",
         action_text("sector", "deviation").alias("recommended_action"),
     )
@@ -66,22 +68,22 @@ def issue_missing(existing: DataFrame, current: DataFrame) -> DataFrame:
     return insert_if_absent(existing, with_status(current), ALERT_KEY)
 
 
-def reissue(existing: DataFrame, current: DataFrame, as_of: Column) -> DataFrame:
+def reissue(existing: DataFrame, current: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Close the day's open alerts and issue all current ones."""
     return close_and_reissue(existing, current, "alert_date", as_of, opened=OPEN, closed=CLOSED)
 
 
-def on_day(rows: DataFrame, as_of: Column, open_only: bool = False) -> DataFrame:
+def on_day(rows: DataFrame, as_of: Column | dt.date, open_only: bool = False) -> DataFrame:
     day = rows.filter(F.col("alert_date") == as_of)
     return day.filter(F.col("alert_status") == OPEN) if open_only else day
 
 
-def today(rows: DataFrame, as_of: Column) -> DataFrame:
+def today(rows: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """The day's alerts, greatest deviation first."""
     return on_day(rows, as_of).select(*ALERT_COLUMNS, "alert_status").orderBy(F.abs("deviation").desc(), "customer_id", "sector")
 
 
-def rep_alerts(rows: DataFrame, as_of: Column) -> DataFrame:
+def rep_alerts(rows: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Per representative: customers, open alerts, mean deviation."""
     gap = F.abs("deviation")
     return on_day(rows, as_of, True).groupBy("sales_rep").agg(
@@ -107,7 +109,7 @@ def rep_summary(rows: DataFrame) -> DataFrame:
     return counts.join(names, same, "left").drop("__sales_rep", "__alert_date")
 
 
-def rep_detail(rows: DataFrame, as_of: Column) -> DataFrame:
+def rep_detail(rows: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Open alerts of the day for the mail report, by representative and size."""
     return on_day(rows, as_of, True).select(
         "sales_rep", "customer_id", "customer_name", "risk_tolerance", "sector", "current_ratio", "target_ratio",
@@ -115,7 +117,7 @@ def rep_detail(rows: DataFrame, as_of: Column) -> DataFrame:
     ).orderBy("sales_rep", F.abs("deviation").desc(), "customer_id", "sector")
 
 
-def rep_message(rows: DataFrame, as_of: Column, n: int = MESSAGE_ROWS) -> DataFrame:
+def rep_message(rows: DataFrame, as_of: Column | dt.date, n: int = MESSAGE_ROWS) -> DataFrame:
     """One mail text per representative: counts of all open alerts and the ``n`` largest ones.
 
     Set based: rank per representative (only n rows per task reach the shuffle), then join the

@@ -13,9 +13,11 @@ reduced to a few rows by the partial aggregation before anything is moved by cus
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.numeric import mean_of, percent, share_exact
+from ..functions.numeric import as_column, mean_of, percent, share_exact
 from ..functions.temporal import days_between
 from ..functions.text import label
 from ..operators.joins import spread_join
@@ -145,10 +147,10 @@ def sector_pivot(pos: DataFrame, customers: DataFrame, sectors: list[str] = PIVO
     )
 
 
-def snapshot(pos: DataFrame, as_of: Column) -> DataFrame:
+def snapshot(pos: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """The day's valuation rows, keyed by (snapshot_date, customer_id, stock_code)."""
     return pos.select(
-        as_of.cast("date").alias("snapshot_date"), "customer_id", "stock_code", "stock_name", "sector", "quantity",
+        as_column(as_of).cast("date").alias("snapshot_date"), "customer_id", "stock_code", "stock_name", "sector", "quantity",
         "avg_purchase_price", "current_price", "market_value", "unrealized_pl",
         percent("unrealized_pl", "book_value", 4).alias("unrealized_pl_pct"),
     )
@@ -163,11 +165,11 @@ def snapshot_check(snapshots: DataFrame) -> DataFrame:
     )
 
 
-def snapshot_detail(snapshots: DataFrame, as_of: Column) -> DataFrame:
+def snapshot_detail(snapshots: DataFrame, as_of: Column | dt.date) -> DataFrame:
     return snapshots.filter(F.col("snapshot_date") == as_of).orderBy("customer_id", F.col("market_value").desc(), "stock_code")
 
 
-def allocation(snapshots: DataFrame, customers: DataFrame, targets: DataFrame, as_of: Column, threshold: float = THRESHOLD) -> DataFrame:
+def allocation(snapshots: DataFrame, customers: DataFrame, targets: DataFrame, as_of: Column | dt.date, threshold: float = THRESHOLD) -> DataFrame:
     """Sector share against target for one snapshot date.
 
     Held sectors drive the comparison: a sector without target counts as target 0, a target
@@ -194,11 +196,11 @@ def allocation(snapshots: DataFrame, customers: DataFrame, targets: DataFrame, a
     )
 
 
-def allocation_detail(alloc: DataFrame, as_of: Column) -> DataFrame:
+def allocation_detail(alloc: DataFrame, as_of: Column | dt.date) -> DataFrame:
     return alloc.filter(F.col("snapshot_date") == as_of).orderBy("customer_id", F.abs("deviation").desc(), "sector")
 
 
-def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
+def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Flagged rows with an over/under label."""
     flagged = alloc.filter((F.col("snapshot_date") == as_of) & F.col("rebalance_flag"))
     deviation = F.col("deviation")
@@ -210,7 +212,7 @@ def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column) -> DataF
     )
 
 
-def customer_deviation(alloc: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
+def customer_deviation(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Per customer with at least one flagged sector: counts, mean and greatest deviation."""
     gap = F.abs("deviation")
     per_customer = (
@@ -231,7 +233,7 @@ def customer_deviation(alloc: DataFrame, customers: DataFrame, as_of: Column) ->
     )
 
 
-def risk_deviation(alloc: DataFrame, as_of: Column) -> DataFrame:
+def risk_deviation(alloc: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """Per risk class: customers, mean deviation, flagged and all rows."""
     gap = F.abs("deviation")
     return alloc.filter(F.col("snapshot_date") == as_of).groupBy("risk_tolerance").agg(
@@ -242,7 +244,7 @@ def risk_deviation(alloc: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def deviation_matrix(alloc: DataFrame, as_of: Column, sectors: list[str] = PIVOT_SECTORS) -> DataFrame:
+def deviation_matrix(alloc: DataFrame, as_of: Column | dt.date, sectors: list[str] = PIVOT_SECTORS) -> DataFrame:
     """Customer by sector, the deviation or NULL."""
     day = alloc.filter(F.col("snapshot_date") == as_of)
     return max_pivot(day, ["customer_id"], "sector", {s: f"{s}_deviation" for s in sectors}, "deviation")
@@ -290,7 +292,7 @@ def label_segments(df: DataFrame, labels: dict[str, str] = RISK_LABELS) -> DataF
     return df.withColumn("risk_label", label("risk_tolerance", labels))
 
 
-def rebalance_list(alloc: DataFrame, customers: DataFrame, as_of: Column, threshold: float = THRESHOLD) -> DataFrame:
+def rebalance_list(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date, threshold: float = THRESHOLD) -> DataFrame:
     """Rows whose stored deviation is at least the threshold (equality included)."""
     rows = alloc.filter((F.col("snapshot_date") == as_of) & (F.abs("deviation") >= threshold)).drop("risk_tolerance")
     return _with_customer(rows, customers, ["customer_name", "risk_tolerance"], ["sector"]).select(

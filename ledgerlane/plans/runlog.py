@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.numeric import mean_of
+from ..functions.numeric import as_column, mean_of
 from ..functions.temporal import day_of, elapsed, shift
 
 # States with the texts shown for them, and the limits of the history view.
@@ -73,4 +73,4 @@ def run_step(df: DataFrame, table: str, step: str, message: Column, affected: Co
         F.col("n" if affected is None else "affected").cast("bigint").alias("affected_rows"),
         message.alias("details"),
     )
-    return rows if at is None else rows.withColumn("check_timestamp", at.cast("timestamp"))
+    return rows if at is None else rows.withColumn("check_timestamp", as_column(at).cast("timestamp"))

@@ -20,7 +20,7 @@ from ..operators.changes import net_changes
 from ..operators.latest import latest_per_key
 from ..operators.tables import _NEW, _OLD, paired, read_or_empty, replace_partitions, table_exists
 from ..plans.portfolio import customer_summary, positions
-from ..session import materialize, workspace
+from ..session import materialize
 from .loader import start
 
 BUCKETS = 64
@@ -64,11 +64,12 @@ class PositionState:
     def live(self, spark: SparkSession) -> DataFrame:
         return self.read(spark).filter(~F.col("deleted"))
 
-    def merge(self, batch: DataFrame, keep_before: str | None = None) -> tuple[DataFrame, DataFrame, list[int]]:
-        """Take in a batch. Returns the touched buckets before and after, and their numbers.
+    def merge(self, batch: DataFrame, keep_before: str | None = None) -> tuple[DataFrame, list[int]]:
+        """Take in a batch. Returns the touched buckets as they are now, and their numbers.
 
-        ``keep_before`` is where the image from before the batch is kept; when it is there already
-        (the batch is being repeated) it is used in place of the current state.
+        The new rows are a written table before the state is swapped, so a batch that fails in
+        between can be repeated. ``keep_before`` is where the image from before the batch is kept;
+        when it is there already (the batch is being repeated) it is used in place of the state.
         """
         spark = batch.sparkSession
         schema = self.table_schema()
@@ -76,13 +77,14 @@ class PositionState:
         changes = newest_changes(batch.withColumn("bucket", bucket_of("customer_id", self.buckets)), POSITION_KEY)
         changes = materialize(changes.select(*columns), "changes")
         touched = _touched(changes)
-        image = keep_before or workspace(spark, "before")
-        if not table_exists(spark, image):
-            self.read(spark).filter(F.col("bucket").isin(touched)).select(*columns).write.mode("overwrite").parquet(image)
-        before = spark.read.schema(schema).parquet(image)
+        before = self.read(spark).filter(F.col("bucket").isin(touched)).select(*columns)
+        if keep_before:
+            if not table_exists(spark, keep_before):
+                before.write.mode("overwrite").parquet(keep_before)
+            before = spark.read.schema(schema).parquet(keep_before)
         after = materialize(merge_newest(before, changes, POSITION_KEY).select(*columns), "after")
         replace_partitions(after, self.path, ["bucket"], stage=False)
-        return before, after, touched
+        return after, touched
 
 
 def refresh_summary(
@@ -103,24 +105,25 @@ def refresh_summary(
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _, after, touched = state.merge(batch)
+        after, touched = state.merge(batch)
         if not touched:
             return
         customers, prices = dims()
         live = after.filter(~F.col("deleted"))
         fresh = customer_summary(positions(live, prices), customers).withColumn("bucket", bucket_of("customer_id", state.buckets))
-        fresh = materialize(fresh, "summary")
         # One mark per touched bucket, so that a bucket that became empty is replaced as well.
         marks = spark.createDataFrame([(b,) for b in touched], "bucket int")
+        # Both tables follow from the state alone, so a repeated batch simply writes them again.
         replace_partitions(fresh.unionByName(marks, allowMissingColumns=True), summary_path, ["bucket"], stage=False)
-        parts = fresh.groupBy("bucket", "risk_tolerance").agg(
-            F.count(F.lit(1)).alias("customer_count"),
+        written = spark.read.schema(fresh.schema).parquet(summary_path).filter(F.col("bucket").isin(touched))
+        parts = written.groupBy("bucket", "risk_tolerance").agg(
+            F.count("customer_id").alias("customer_count"),
             F.sum("overall_return_pct").alias("sum_return"),
             F.count("overall_return_pct").alias("n_return"),
             F.sum("total_investment").alias("total_investment"),
             F.sum("total_current_value").alias("total_current_value"),
         )
-        replace_partitions(parts.unionByName(marks, allowMissingColumns=True), segment_path, ["bucket"], stage=False)
+        replace_partitions(parts, segment_path, ["bucket"], stage=False)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     return start(writer, trigger)
@@ -132,7 +135,7 @@ def read_summary(spark: SparkSession, summary_path: str) -> DataFrame:
 
 def read_segments(spark: SparkSession, segment_path: str) -> DataFrame:
     """Merge the per-bucket parts: at most buckets x risk classes rows."""
-    parts = spark.read.parquet(segment_path).filter(F.col("customer_count").isNotNull())
+    parts = spark.read.parquet(segment_path).filter(F.col("customer_count") > 0)
     return parts.groupBy("risk_tolerance").agg(
         F.sum("customer_count").alias("customer_count"),
         mean_of(F.sum("sum_return"), F.sum("n_return")).alias("avg_return_pct"),
@@ -152,7 +155,9 @@ def change_log_sink(
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        before, after, _ = state.merge(batch, f"{log_path}_before/batch_id={batch_id}")
+        kept = f"{log_path}_before/batch_id={batch_id}"
+        after, _ = state.merge(batch, kept)
+        before = batch.sparkSession.read.schema(after.schema).parquet(kept)
         old, new = (side.filter(~F.col("deleted")).drop("seq", "deleted", "bucket") for side in (before, after))
         net_changes(old, new, POSITION_KEY).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 

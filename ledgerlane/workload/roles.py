@@ -156,8 +156,9 @@ class Roles:
     @cached_property
     def holdings(self) -> DataFrame:
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
-        money = F.sum(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double")
-        quantity = F.sum(F.col("l_quantity").cast("decimal(10,0)"))
+        # Whole cents and whole pieces: exact like decimals, but plain long sums.
+        money = F.sum(F.floor(F.col("l_extendedprice") * 100 + 0.5)).cast("double") / 100
+        quantity = F.sum(F.col("l_quantity").cast("bigint"))
         price = F.floor(money / quantity.cast("double") * 100 + 0.5) / 100
         return (
             self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")

@@ -67,9 +67,10 @@ def main():
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
+    parser.add_argument("--conf", action="append", default=[], help="key=value for the session")
     parser.add_argument("keys", nargs="*")
     args = parser.parse_args()
-    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", **dict(c.split("=", 1) for c in args.conf)})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(args.sf)
     sqls = entry.oracle_sql()
