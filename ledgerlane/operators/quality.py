@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import as_column
 from ..functions.temporal import elapsed
-from .joins import key_counts, rows_not_in, rows_without_parent
+from .joins import key_counts, keys_without_parent, rows_not_in
 
 # The names that appear in the quality log.
 NULL_CHECK, DUPLICATE_CHECK, REFERENCE_CHECK = "NULL_CHECK", "DUPLICATE_CHECK", "REFERENTIAL_INTEGRITY"
@@ -58,12 +58,26 @@ def duplicate_check(df: DataFrame, table: str, keys: list[str], details: str | N
 def fk_check(child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str, distinct: bool = False, details: str | None = None) -> DataFrame:
     """Child rows, or distinct child keys, without a parent. A NULL key counts as an orphan."""
     parents = parent.select(F.col(parent_key).alias(key))
-    orphans = rows_without_parent(key_counts(child, [key]), parents, [key])
+    orphans = keys_without_parent(child, parents, [key])
     affected = F.count(F.lit(1)) if distinct else F.coalesce(F.sum("n"), F.lit(0))
     counts = orphans.agg(affected.alias("affected"))
     return check_row(counts, F.col("affected"), table, REFERENCE_CHECK, details or f"{table} with non-existent {key}")
 
 
+def table_checks(df: DataFrame, table: str, required: list[str], keys: list[str]) -> DataFrame:
+    """NULL check and duplicate check of one table in one scan and one shuffle."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(any_null(required)).alias("nulls"))
+    counts = per_key.agg(F.coalesce(F.sum("nulls"), F.lit(0)).alias("nulls"), F.count_if(F.col("n") > 1).alias("duplicates"))
+    entries = F.array(
+        F.struct(F.lit(NULL_CHECK).alias("check_type"), F.col("nulls").alias("n"), F.lit(f"NULL values found in: {', '.join(required)}").alias("details")),
+        F.struct(F.lit(DUPLICATE_CHECK).alias("check_type"), F.col("duplicates").alias("n"), F.lit(f"Duplicate {' + '.join(keys)} found").alias("details")),
+    )
+    return counts.select(F.explode(entries).alias("e")).select(
+        F.lit(table).alias("table_name"), F.col("e.check_type"), F.when(F.col("e.n") == 0, PASS).otherwise(FAIL).alias("check_result"),
+        F.col("e.n").cast("bigint").alias("affected_rows"), F.col("e.details"),
+    )
+
+
 def check_log(checks: list[DataFrame], at: Column) -> DataFrame:
     """All check rows with their time, ready to append to the log."""
     rows = reduce(DataFrame.unionByName, checks)
@@ -138,7 +152,7 @@ def metrics(df: DataFrame, table: str, spec: list[tuple[str, str | None]], as_of
 
 def fk_metric(child: DataFrame, table: str, key: str, parent: DataFrame, parent_key: str, as_of: Column, name: str = "FK_EXISTS") -> DataFrame:
     """Custom metric over a table: keys that are NOT IN the parent, with SQL's NULL rules."""
-    orphans = rows_not_in(key_counts(child, [key]), key, parent, parent_key)
+    orphans = rows_not_in(key_counts(child, [key]), key, parent, parent_key, distinct_parent=True)
     return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("value")).select(
         as_column(as_of).cast("timestamp").alias("measurement_time"),
         F.lit(table).alias("table_name"),

@@ -137,7 +137,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage:
     is touched, so a failed run can be repeated from there. ``stage=False`` is for rows that are a
     written table already.
     """
-    rows = materialize(df, "staged") if stage else df
+    # Rebalance: whole files of a sensible size per partition, large partitions over many tasks.
+    rows = (materialize(df, "staged") if stage else df).hint("rebalance", *partition_by)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import as_column, mean_of
 from ..functions.text import NEWLINE, joined
-from ..operators.joins import spread_join
 from ..operators.latest import top_per_key
 from ..operators.reshape import text_list
 from ..operators.tables import close_and_reissue, insert_if_absent
@@ -51,7 +50,7 @@ def action_text(sector, deviation) -> Column:
 def alerts(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
     """One alert per flagged allocation row of the day (without status)."""
     flagged = alloc.filter((F.col("snapshot_date") == as_of) & F.col("rebalance_flag"))
-    named = spread_join(flagged, customers.select("customer_id", "customer_name", "sales_rep"), ["customer_id"], spread_by=["sector"])
+    named = flagged.join(customers.select("customer_id", "customer_name", "sales_rep"), ["customer_id"])
     return named.select(
         as_column(as_of).cast("date").alias("alert_date"), "customer_id", "customer_name", "risk_tolerance", "sales_rep", "sector",
         F.col("allocation_ratio").alias("current_ratio"), "target_ratio", "deviation",

@@ -58,13 +58,19 @@ def positions(holdings: DataFrame, prices: DataFrame) -> DataFrame:
     )
 
 
-def _with_customer(df: DataFrame, customers: DataFrame, columns: list[str], spread_by: list[str] | None = None) -> DataFrame:
-    return spread_join(df, customers.select("customer_id", *columns), ["customer_id"], spread_by=spread_by)
+def _with_customer(df: DataFrame, customers: DataFrame, columns: list[str]) -> DataFrame:
+    """Add customer columns.
+
+    Totals have a few rows per customer and are partitioned by customer already, so a plain join
+    moves only the customers. Detail rows come straight from a shuffle and nothing after the join
+    needs their partitioning, so adaptive execution can split a customer with very many positions.
+    """
+    return df.join(customers.select("customer_id", *columns), ["customer_id"])
 
 
 def valuation(pos: DataFrame, customers: DataFrame) -> DataFrame:
     """Every position with its book and market value."""
-    return _with_customer(pos, customers, ["customer_name"], ["stock_code"]).select(
+    return _with_customer(pos, customers, ["customer_name"]).select(
         "customer_id", "customer_name", "stock_code", "stock_name", "sector", "quantity", "avg_purchase_price",
         "current_price", "book_value", "market_value", F.col("price_date").alias("valuation_date"),
     )
@@ -90,7 +96,7 @@ def pl_status(pl) -> Column:
 def unrealized(pos: DataFrame, customers: DataFrame) -> DataFrame:
     """Every position with profit, percentage, label and holding days."""
     pl = F.col("unrealized_pl")
-    return _with_customer(pos, customers, ["customer_name"], ["stock_code"]).select(
+    return _with_customer(pos, customers, ["customer_name"]).select(
         "customer_id", "customer_name", "stock_code", "stock_name", "sector", "quantity", "avg_purchase_price",
         "current_price", "book_value", "market_value", "unrealized_pl",
         percent(pl, "book_value", 2).alias("unrealized_pl_pct"),
@@ -131,7 +137,7 @@ def sector_mix(pos: DataFrame, customers: DataFrame) -> DataFrame:
     """
     total = F.sum("sector_market_value").over(Window.partitionBy("customer_id"))
     mix = sector_values(pos).withColumn("total_market_value", total)
-    return _with_customer(mix, customers, ["customer_name", "risk_tolerance"], ["sector"]).select(
+    return _with_customer(mix, customers, ["customer_name", "risk_tolerance"]).select(
         "customer_id", "customer_name", "risk_tolerance", "sector", "sector_market_value", "total_market_value",
         percent("sector_market_value", "total_market_value", 2).alias("allocation_ratio"),
     )
@@ -182,7 +188,7 @@ def allocation(snapshots: DataFrame, customers: DataFrame, targets: DataFrame, a
     )
     total = F.sum("market_value").over(Window.partitionBy("snapshot_date", "customer_id"))
     shares = _with_customer(
-        values.withColumn("share", share_exact("market_value", total)), customers, ["risk_tolerance"], ["sector"]
+        values.withColumn("share", share_exact("market_value", total)), customers, ["risk_tolerance"]
     )
     compared = spread_join(shares, targets, ["risk_tolerance", "sector"], "left", ["customer_id"])
     target = F.coalesce(F.col("target_ratio"), F.lit(0)).cast("decimal(5,2)")
@@ -204,7 +210,7 @@ def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date
     """Flagged rows with an over/under label."""
     flagged = alloc.filter((F.col("snapshot_date") == as_of) & F.col("rebalance_flag"))
     deviation = F.col("deviation")
-    return _with_customer(flagged, customers, ["customer_name", "sales_rep"], ["sector"]).select(
+    return _with_customer(flagged, customers, ["customer_name", "sales_rep"]).select(
         "customer_id", "customer_name", "risk_tolerance", "sales_rep", "sector",
         F.col("allocation_ratio").alias("current_ratio"), "target_ratio", "deviation",
         F.when(deviation > 0, OVERWEIGHT).when(deviation < 0, UNDERWEIGHT).otherwise(ON_TARGET).alias("allocation_status"),
@@ -252,7 +258,7 @@ def deviation_matrix(alloc: DataFrame, as_of: Column | dt.date, sectors: list[st
 
 def performance_detail(pos: DataFrame, customers: DataFrame) -> DataFrame:
     """Positions with the row return used by the performance summaries."""
-    return _with_customer(pos, customers, ["customer_name", "risk_tolerance"], ["stock_code"]).select(
+    return _with_customer(pos, customers, ["customer_name", "risk_tolerance"]).select(
         "customer_id", "customer_name", "risk_tolerance", "stock_code", "stock_name", "sector", "quantity",
         "avg_purchase_price", "current_price",
         F.col("book_value").alias("investment_value"),
@@ -295,7 +301,7 @@ def label_segments(df: DataFrame, labels: dict[str, str] = RISK_LABELS) -> DataF
 def rebalance_list(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date, threshold: float = THRESHOLD) -> DataFrame:
     """Rows whose stored deviation is at least the threshold (equality included)."""
     rows = alloc.filter((F.col("snapshot_date") == as_of) & (F.abs("deviation") >= threshold)).drop("risk_tolerance")
-    return _with_customer(rows, customers, ["customer_name", "risk_tolerance"], ["sector"]).select(
+    return _with_customer(rows, customers, ["customer_name", "risk_tolerance"]).select(
         "customer_id", "customer_name", "risk_tolerance", "sector",
         F.col("allocation_ratio").alias("actual_pct"), F.col("target_ratio").alias("target_pct"),
         "deviation", "rebalance_flag",

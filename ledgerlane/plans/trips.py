@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numeric import haversine_km, kelvin_to_celsius
 from ..functions.semistructured import at
 from ..functions.temporal import day_name, hour_bucket, month_bucket, month_name
-from ..operators.joins import spread_join
 
 # The city of the weather view and the length of the station list.
 WEATHER_CITY_ID = 5128638
@@ -80,7 +79,7 @@ def trips_by_condition(trips: DataFrame, view: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("observations"))
     )
     return (
-        spread_join(condition_hours, trip_hours, ["hour"])
+        condition_hours.join(trip_hours, ["hour"])
         .groupBy("conditions")
         .agg(F.sum(F.col("trips") * F.col("observations")).alias("num_trips"))
         .orderBy(F.col("num_trips").desc(), "conditions")

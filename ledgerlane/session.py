@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# What every job here relies on. Sizes of shuffle partitions are left to AQE: the start
-# value is generous and small partitions are merged at run time.
+# What every job here relies on.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,13 +15,27 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }
+PARTITION_BYTES = 128 << 20
 
 
-def build_session(app: str = "ledgerlane", master: str | None = None, **extra: str) -> SparkSession:
+def shuffle_start(input_bytes: int) -> int:
+    """Shuffle partitions to start with for an input size; adaptive execution merges what is too small.
+
+    100 TB gives 50,000, the upper end; below 25 GB it is Spark's default of 200.
+    """
+    return min(50_000, max(200, input_bytes // PARTITION_BYTES))
+
+
+def build_session(app: str = "ledgerlane", master: str | None = None, input_bytes: int | None = None, **extra: str) -> SparkSession:
+    """A session with the settings above; ``input_bytes`` sizes the shuffles for a large run."""
+    settings = dict(SETTINGS)
+    if input_bytes:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_start(input_bytes))
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_start(input_bytes))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    for key, value in {**settings, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -40,7 +53,8 @@ def workspace(spark: SparkSession, label: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlane-"))
         base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    # One folder per application, so that a finished run can be cleared as a whole.
+    return f"{base.rstrip('/')}/{context.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, label: str = "table", partition_by: list[str] | None = None) -> DataFrame:

@@ -35,7 +35,7 @@ SELECT p.customer_id, c.customer_name, stock_code, stock_name, sector, {dbl('qua
   {dbl('avg_purchase_price')} AS avg_purchase_price, {dbl('current_price')} AS current_price,
   {dbl('book_value')} AS book_value, {dbl('market_value')} AS market_value, {dbl('unrealized_pl')} AS unrealized_pl,
   {pct('unrealized_pl', 'book_value')} AS unrealized_pl_pct,
-  CASE WHEN unrealized_pl > 0 THEN '含み益' WHEN unrealized_pl < 0 THEN '含み損' ELSE '±0' END AS pl_status,
+  CASE sign(unrealized_pl) WHEN 1 THEN '{pf.GAIN}' WHEN -1 THEN '{pf.LOSS}' ELSE '{pf.FLAT}' END AS pl_status,
   {text('purchase_date')} AS purchase_date, CAST(date_diff('day', purchase_date, price_date) AS INTEGER) AS holding_days
 FROM pos p JOIN customers c ON p.customer_id = c.customer_id""")
 def unrealized(r: Roles) -> DataFrame:
@@ -112,7 +112,7 @@ def allocation_detail(r: Roles) -> DataFrame:
 @query("pf_misallocated", f"""{ALLOC}
 SELECT a.customer_id, c.customer_name, a.risk_tolerance, c.sales_rep, a.sector, {dbl('allocation_ratio')} AS current_ratio,
   {dbl('target_ratio')} AS target_ratio, {dbl('deviation')} AS deviation,
-  CASE WHEN deviation > 0 THEN 'オーバーウェイト' WHEN deviation < 0 THEN 'アンダーウェイト' ELSE '適正' END AS allocation_status,
+  CASE sign(deviation) WHEN 1 THEN '{pf.OVERWEIGHT}' WHEN -1 THEN '{pf.UNDERWEIGHT}' ELSE '{pf.ON_TARGET}' END AS allocation_status,
   {dbl('market_value')} AS sector_value
 FROM alloc a JOIN customers c ON a.customer_id = c.customer_id WHERE rebalance_flag""")
 def misallocated(r: Roles) -> DataFrame:

@@ -55,8 +55,7 @@ UNION ALL SELECT {_LOG(table='CHILD', check='REFERENTIAL_INTEGRITY', details='CH
 
 def _checks(r: Roles) -> DataFrame:
     return q.check_log([
-        q.null_check(r.contacts, "CONTACTS", ["email", "phone"]),
-        q.duplicate_check(r.contacts, "CONTACTS", ["customer_id"]),
+        q.table_checks(r.contacts, "CONTACTS", ["email", "phone"], ["customer_id"]),
         q.fk_check(child(r), "CHILD", "k", parent(r), "k"),
     ], r.now)
 

@@ -136,13 +136,13 @@ def filt_date_bucket(r: Roles) -> DataFrame:
 SELECT o_orderkey, c_name, n_name FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def join_inner(r: Roles) -> DataFrame:
     customers = r.customers.select(F.col("customer_id").alias("o_custkey"), F.col("customer_name").alias("c_name"), F.col("sales_rep").alias("n_name"))
-    return joins.spread_join(r.table("orders").select("o_orderkey", "o_custkey"), customers, ["o_custkey"]).drop("o_custkey")
+    return r.table("orders").select("o_orderkey", "o_custkey").join(customers, ["o_custkey"]).drop("o_custkey")
 
 
 @query("join_left_multi", f"""{ALLOC}
 SELECT customer_id, risk_tolerance, sector, {dbl('target_ratio')} AS target_ratio FROM shares""")
 def join_left_multi(r: Roles) -> DataFrame:
-    held = joins.spread_join(pf.sector_values(r.positions), r.customers.select("customer_id", "risk_tolerance"), ["customer_id"], spread_by=["sector"])
+    held = pf.sector_values(r.positions).join(r.customers.select("customer_id", "risk_tolerance"), ["customer_id"])
     matched = joins.spread_join(held, r.targets, ["risk_tolerance", "sector"], "left", ["customer_id"])
     return matched.select("customer_id", "risk_tolerance", "sector", F.coalesce("target_ratio", F.lit(0)).cast("decimal(5,2)").alias("target_ratio"))
 
@@ -194,7 +194,7 @@ def join_anti_not_exists(r: Roles) -> DataFrame:
     lines = r.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag")
     keys = ["l_orderkey", "l_partkey", "l_linenumber"]
     returned = lines.filter(F.col("l_returnflag") == "R").select(*keys)
-    return joins.spread_join(lines, returned, keys, "left_anti").select(*keys)
+    return lines.join(returned, keys, "left_anti").select(*keys)
 
 
 @query("join_anti_not_in", f"""WITH {CHILD}, {PARENT}, {NULL_PARENT}

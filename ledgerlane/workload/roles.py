@@ -9,6 +9,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..plans import alerts as al, portfolio as pf
+
 AS_OF = "2002-01-31"
 NOW = "2024-02-01 00:00:00"
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -85,12 +87,19 @@ alloc AS (
     coalesce(abs(share - target_ratio) > 5, FALSE) AS rebalance_flag
   FROM shares)"""
 ALLOC = f"{POS}, {TARGETS_SQL}, {ALLOCATION}"
-ACTION = """CASE WHEN a.deviation > 5 THEN concat('【売却推奨】', a.sector, 'が目標比率より', CAST(round(a.deviation, 1) AS VARCHAR), '%過大です。一部売却をご検討ください。')
-  WHEN a.deviation < -5 THEN concat('【買付推奨】', a.sector, 'が目標比率より', CAST(round(abs(a.deviation), 1) AS VARCHAR), '%不足です。追加購入をご検討ください。') END"""
+
+
+def advice(head: str, middle: str, tail: str) -> str:
+    """SQL of one recommendation sentence."""
+    return f"'{head}' || a.sector || '{middle}' || CAST(round(abs(a.deviation), 1) AS VARCHAR) || '{tail}'"
+
+
+ACTION = f"""CASE WHEN a.deviation > {al.THRESHOLD} THEN {advice(al.SELL_HEAD, al.SELL_MIDDLE, al.SELL_TAIL)}
+  WHEN a.deviation < -{al.THRESHOLD} THEN {advice(al.BUY_HEAD, al.BUY_MIDDLE, al.BUY_TAIL)} END"""
 ALERT_ROWS = f"""alert_rows AS (
   SELECT DATE '{AS_OF}' AS alert_date, a.customer_id, c.customer_name, a.risk_tolerance, c.sales_rep, a.sector,
     a.allocation_ratio AS current_ratio, a.target_ratio, a.deviation,
-    CASE WHEN a.sector IS NOT NULL THEN {ACTION} END AS recommended_action,
+    {ACTION} AS recommended_action,
     CASE WHEN a.customer_id % 5 = 0 THEN 'CLOSED' ELSE 'OPEN' END AS alert_status
   FROM alloc a JOIN customers c ON a.customer_id = c.customer_id WHERE a.rebalance_flag)"""
 ALERTS = f"{ALLOC}, {ALERT_ROWS}"
@@ -192,29 +201,21 @@ class Roles:
 
     @cached_property
     def positions(self) -> DataFrame:
-        from ..plans.portfolio import positions
-
-        return positions(self.holdings, self.prices)
+        return pf.positions(self.holdings, self.prices)
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        from ..plans.portfolio import snapshot
-
-        return snapshot(self.positions, self.as_of)
+        return pf.snapshot(self.positions, self.as_of)
 
     @cached_property
     def allocation(self) -> DataFrame:
-        from ..plans.portfolio import allocation
-
-        return allocation(self.snapshots, self.customers, self.targets, self.as_of)
+        return pf.allocation(self.snapshots, self.customers, self.targets, self.as_of)
 
     @cached_property
     def alerts(self) -> DataFrame:
         """Alerts of the day; those of every fifth customer are closed already."""
-        from ..plans.alerts import alerts
-
         closed = F.when(F.col("customer_id") % 5 == 0, "CLOSED").otherwise("OPEN")
-        return alerts(self.allocation, self.customers, self.as_of).withColumn("alert_status", closed)
+        return al.alerts(self.allocation, self.customers, self.as_of).withColumn("alert_status", closed)
 
     @cached_property
     def trips(self) -> DataFrame:

@@ -65,7 +65,7 @@ def trips_by_condition(r: Roles) -> DataFrame:
 
 # ---- run log -------------------------------------------------------------------------------
 
-_SHOWN = """CASE state WHEN 'SUCCEEDED' THEN '✅ 成功' WHEN 'FAILED' THEN '❌ 失敗' WHEN 'SKIPPED' THEN '⏭️ スキップ' ELSE state END AS status_display"""
+_SHOWN = f"CASE state {' '.join(f'WHEN {chr(39)}{k}{chr(39)} THEN {chr(39)}{v}{chr(39)}' for k, v in runlog.STATE_LABELS.items())} ELSE state END AS status_display"
 _RUN_COLUMNS = f"""name AS task_name, state, {stamp('scheduled_time')} AS scheduled_time, {stamp('completed_time')} AS completed_time,
   CAST(date_diff('second', scheduled_time, completed_time) AS BIGINT) AS execution_seconds, {_SHOWN}, error_code, error_message"""
 
@@ -122,17 +122,27 @@ def rep_detail(r: Roles) -> DataFrame:
     return al.rep_detail(r.alerts, r.as_of)
 
 
+def _lines(*parts: str) -> str:
+    """SQL text made of the given SQL parts, joined without separator."""
+    return " || ".join(parts)
+
+
+_NL = "chr(10)"
+_DETAIL = _lines(
+    f"'{al.MESSAGE_BULLET}'", "customer_name", f"'{al.MESSAGE_SLASH}'", "sector", f"'{al.MESSAGE_GAP}'", "CAST(round(deviation, 1) AS VARCHAR)",
+    f"'{al.MESSAGE_GAP_END}'", _NL, f"'{al.MESSAGE_INDENT}'", "coalesce(recommended_action, '')", _NL, _NL)
+_BODY = _lines(
+    _NL, f"'{al.MESSAGE_TITLE}'", _NL, _NL, "c.sales_rep", f"'{al.MESSAGE_HONORIFIC}'", _NL, _NL, f"'{al.MESSAGE_GREETING}'", _NL,
+    f"'{al.MESSAGE_CUSTOMERS}'", "CAST(customers AS VARCHAR)", f"'{al.MESSAGE_CUSTOMERS_UNIT}'", _NL,
+    f"'{al.MESSAGE_ALERTS}'", "CAST(alerts AS VARCHAR)", f"'{al.MESSAGE_ALERTS_UNIT}'", _NL, _NL,
+    f"'{al.MESSAGE_DETAIL}'", _NL, f"'{al.MESSAGE_DETAIL_LEAD}'", _NL, _NL, "lines", f"'{al.MESSAGE_FOOTER}'", _NL, _NL, f"'{al.MESSAGE_AUTO}'")
+
+
 @query("rep_message", f"""{ALERTS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY sales_rep ORDER BY abs(deviation) DESC, customer_id, sector) AS rn FROM alert_rows
   WHERE alert_status = 'OPEN'),
-lines AS (SELECT sales_rep, string_agg('・' || customer_name || ' / ' || sector || ' (乖離: ' || CAST(round(deviation, 1) AS VARCHAR) || '%)' || chr(10)
-  || '  ' || coalesce(recommended_action, '') || chr(10) || chr(10), '' ORDER BY rn) AS lines FROM ranked WHERE rn <= 10 GROUP BY sales_rep),
+lines AS (SELECT sales_rep, string_agg({_DETAIL}, '' ORDER BY rn) AS lines FROM ranked WHERE rn <= {al.MESSAGE_ROWS} GROUP BY sales_rep),
 counts AS (SELECT sales_rep, count(DISTINCT customer_id) AS customers, count(*) AS alerts FROM ranked GROUP BY sales_rep)
-SELECT c.sales_rep, customers, alerts, chr(10) || '【ポートフォリオリバランスアラート】' || chr(10) || chr(10) || c.sales_rep || ' 様' || chr(10) || chr(10)
-  || '本日のリバランスアラートをお知らせします。' || chr(10) || '対応が必要な顧客: ' || CAST(customers AS VARCHAR) || '名' || chr(10)
-  || 'アラート件数: ' || CAST(alerts AS VARCHAR) || '件' || chr(10) || chr(10) || '【詳細】' || chr(10)
-  || '以下の顧客に対してリバランス提案が必要です。' || chr(10) || chr(10) || lines
-  || '詳細はポートフォリオ管理システムをご確認ください。' || chr(10) || chr(10) || '※このメールは自動送信されています。' AS body
-FROM counts c JOIN lines l ON c.sales_rep = l.sales_rep""")
+SELECT c.sales_rep, customers, alerts, {_BODY} AS body FROM counts c JOIN lines l ON c.sales_rep = l.sales_rep""")
 def rep_message(r: Roles) -> DataFrame:
     return al.rep_message(r.alerts, r.as_of)
