@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -19,6 +20,8 @@ from .lines import block_index, place_lines, raw_lines
 # Load states and error policies.
 LOADED, PARTIAL, FAILED = "LOADED", "PARTIALLY_LOADED", "LOAD_FAILED"
 CONTINUE, ABORT, SKIP_FILE = "continue", "abort", "skip_file"
+# Columns that tag a row next to its target columns.
+TAGS = ("file", "place", "raw", "bad", "errors")
 
 
 @dataclass(frozen=True)
@@ -116,13 +119,15 @@ def text_columns(spark: SparkSession, paths: str | list[str], width: int, fmt: C
 
 def _tagged(frame: DataFrame, spec: Sequence[Field], keep: list[str]) -> DataFrame:
     failed = [F.when(f.failed(), F.lit(f.name)) for f in spec]
+    bad = reduce(Column.__or__, [f.failed() for f in spec])
+    # ``bad`` decides, ``errors`` explains; a load of good rows never builds the array.
     return frame.select(
-        *keep, "raw", *[f.value().alias(f.name) for f in spec], F.array_compact(F.array(*failed)).alias("errors")
+        *keep, "raw", *[f.value().alias(f.name) for f in spec], bad.alias("bad"), F.array_compact(F.array(*failed)).alias("errors")
     )
 
 
 def tag_rows(spark: SparkSession, paths: str | list[str], spec: Sequence[Field], fmt: CsvFormat = CsvFormat(), pattern: str | None = None) -> DataFrame:
-    """Every row with its file, place, raw values, typed columns and the names of failed columns.
+    """Every row with its file, place, raw values, typed columns, and whether and why it is bad.
 
     One scan, no shuffle. ``place`` grows with the row order inside a file.
     """
@@ -136,15 +141,30 @@ def tag_rows(spark: SparkSession, paths: str | list[str], spec: Sequence[Field],
 
 
 def _is_bad() -> Column:
-    return F.size("errors") > 0
+    return F.col("bad")
 
 
 def _target_columns(tagged: DataFrame) -> list[str]:
-    return [c for c in tagged.columns if c not in ("file", "place", "raw", "errors")]
+    return [c for c in tagged.columns if c not in TAGS]
 
 
-def message_text() -> Column:
-    return F.concat(F.lit("value does not fit column "), F.array_join("errors", ", "))
+def message_text(errors="errors") -> Column:
+    return F.concat(F.lit("value does not fit column "), F.array_join(errors, ", "))
+
+
+def _error_bits(names: list[str]) -> Column:
+    """The failed columns of a row as bits of one number."""
+    return sum((F.when(F.array_contains("errors", n), F.lit(1 << i)).otherwise(F.lit(0)) for i, n in enumerate(names)), F.lit(0).cast("bigint"))
+
+
+def _failed_names(bits: Column, names: list[str]) -> Column:
+    return F.array_compact(F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(names)]))
+
+
+def _row_order() -> Column:
+    """Place of a row inside its file as one number: block first, then row."""
+    row = F.col("place.row").bitwiseAND(F.lit((1 << 33) - 1))
+    return F.col("place.block").cast("decimal(20,0)") * F.lit(1 << 33).cast("decimal(11,0)") + row.cast("decimal(20,0)")
 
 
 def good_rows(tagged: DataFrame) -> DataFrame:
@@ -179,16 +199,24 @@ def load_rows(tagged: DataFrame, on_error: str = CONTINUE) -> DataFrame:
 
 
 def load_report(tagged: DataFrame, failed_only: bool = False, by: Column | None = None) -> DataFrame:
-    """Per file: rows parsed, loaded and failed, the first error and a status."""
+    """Per file: rows parsed, loaded and failed, the first error and a status.
+
+    Everything that is aggregated is a number (the first error travels as bits), so this is one
+    hash aggregation without sorting the rows.
+    """
     bad = _is_bad()
+    names = _target_columns(tagged)
+    if len(names) > 62:
+        raise ValueError("a load report covers at most 62 columns")
     counts = tagged.groupBy((F.col("file") if by is None else by).alias("file_name")).agg(
         F.count(F.lit(1)).alias("row_parsed"),
         F.count_if(~bad).alias("row_count"),
         F.count_if(bad).alias("error_count"),
-        F.min_by(message_text(), F.when(bad, F.col("place"))).alias("first_error_message"),
+        F.min_by(_error_bits(names), F.when(bad, _row_order())).alias("first_error"),
     )
     status = F.when(F.col("error_count") == 0, LOADED).when(F.col("row_count") == 0, FAILED).otherwise(PARTIAL)
-    report = counts.withColumn("status", status)
+    first = F.when(F.col("error_count") > 0, message_text(_failed_names(F.col("first_error"), names)))
+    report = counts.select("file_name", "row_parsed", "row_count", "error_count", first.alias("first_error_message"), status.alias("status"))
     return report.filter(F.col("error_count") > 0) if failed_only else report
 
 

@@ -107,6 +107,25 @@ def test_spread_join_equals_plain_join(no_broadcast, how):
         joins.spread_join(rows, dim, ["k"], "full_outer")
 
 
+def test_group_total_with_hot_groups(no_broadcast):
+    """The same result whether no, some or all groups count as hot."""
+    rows = no_broadcast.range(2000).select("id", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"))
+    totals = rows.groupBy("k").agg(F.sum("id").alias("t"))
+    want = values(rows.join(totals, "k").select("id", "k", "t"))
+    for limit in (1, 200, 10_000):
+        assert values(joins.with_group_total(rows, "id", ["k"], "t", limit).select("id", "k", "t")) == want
+    counts = joins.key_counts(rows, ["k"])
+    assert values(joins.hot_keys(counts, ["k"], min_rows=200)) == [(7,)]
+    assert joins.hot_keys(counts, ["k"], min_rows=10_000) is None
+
+
+def test_table_checks_equal_single_checks(spark):
+    df = frame(spark, [(1, "a"), (1, None), (2, "c"), (2, "d"), (3, None)])
+    both = q.table_checks(df, "T", ["v"], ["k"])
+    single = q.null_check(df, "T", ["v"]).unionByName(q.duplicate_check(df, "T", ["k"]))
+    assert values(both) == values(single)
+
+
 def test_hot_key_goes_to_many_tasks(no_broadcast):
     rows = no_broadcast.range(2000).select("id", F.lit(1).alias("k"))
     dim = no_broadcast.createDataFrame([(1, "x")], "k int, w string")
