@@ -118,6 +118,9 @@ def text_columns(spark: SparkSession, paths: str | list[str], width: int, fmt: C
 
 
 def _tagged(frame: DataFrame, spec: Sequence[Field], keep: list[str]) -> DataFrame:
+    taken = {f.name for f in spec} & set(TAGS)
+    if taken:
+        raise ValueError(f"these names are used for tags: {sorted(taken)}")
     failed = [F.when(f.failed(), F.lit(f.name)) for f in spec]
     bad = reduce(Column.__or__, [f.failed() for f in spec])
     # ``bad`` decides, ``errors`` explains; a load of good rows never builds the array.
@@ -232,7 +235,7 @@ def validate_errors(spark: SparkSession, path: str | list[str], spec: Sequence[F
     line number. Needs records without line breaks inside.
     """
     width = _width(spec)
-    lines = raw_lines(spark, path)
+    lines = raw_lines(spark, path, fmt.record_delimiter, fmt.encoding)
     parsed = F.from_csv("line", _text_schema(width), fmt.options())
     frame = lines.withColumn("p", parsed).withColumn("raw", F.array(*[F.col(f"p._c{i}") for i in range(width)]))
     blank = F.trim("line") == ""

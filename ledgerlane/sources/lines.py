@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..session import materialize
 
 
-def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def raw_lines(spark: SparkSession, path: str | list[str], line_sep: str | None = None, encoding: str = "UTF-8") -> DataFrame:
     """Each line as one column, header included, with its file, block and running row id."""
-    return spark.read.text(path).select(
+    reader = spark.read.option("encoding", encoding)
+    return reader.text(path, lineSep=line_sep).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),

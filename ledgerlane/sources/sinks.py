@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import materialize
-
 SINGLE_FILE_ROWS = 1_000_000
 
 
@@ -33,8 +31,7 @@ def unload_csv(df: DataFrame, path: str, single: bool = False, header: bool = Fa
     a result above ``SINGLE_FILE_ROWS`` is refused (not cut), because one task would write it.
     """
     if single:
-        df = materialize(df, "unload")
-        if df.count() > SINGLE_FILE_ROWS:
+        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
             raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file; export with single=False")
-        df = df.repartition(1)
+        df = df.coalesce(1)  # keeps the order of a sorted result
     df.write.mode("overwrite").option("compression", compression).option("header", header).csv(path)

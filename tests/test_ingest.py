@@ -120,6 +120,15 @@ def test_inspect_and_select_files(spark, tmp_path, holding_file):
     assert dl.tag_rows(spark, str(tmp_path / "in"), HOLDING_FIELDS, pattern=r"a_\d[.]csv").count() == 4
 
 
+def test_own_record_delimiter_and_reserved_names(spark, tmp_path):
+    path = b.write(tmp_path / "semi.csv", ["a,n", "x,1", "y,bad"], ";")
+    fmt, spec = dl.CsvFormat(record_delimiter=";"), dl.fields(("a", "string"), ("n", "int"))
+    assert [(r["line_no"], r["line"]) for r in dl.validate_errors(spark, path, spec, fmt).collect()] == [(3, "y,bad")]
+    assert [tuple(r) for r in dl.load_rows(dl.tag_rows(spark, path, spec, fmt)).collect()] == [("x", 1)]
+    with pytest.raises(ValueError):
+        dl.tag_rows(spark, path, dl.fields(("errors", "string")))
+
+
 def test_compressed_and_piped(spark, tmp_path):
     with gzip.open(tmp_path / "x.csv.gz", "wt") as out:
         out.write(" a |1\n b |\n")
