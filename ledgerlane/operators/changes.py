@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .tables import _NEW, _OLD, paired
+from .tables import NEW_SIDE, OLD_SIDE, paired
 
 ACTION, IS_UPDATE, ROW_ID = "action", "is_update", "row_id"
 
@@ -20,10 +20,10 @@ def net_changes(old: DataFrame, new: DataFrame, keys: list[str], compare: list[s
     """
     columns = new.columns
     compare = compare or [c for c in columns if c not in keys]
-    has_old, has_new = F.col(_OLD).isNotNull(), F.col(_NEW).isNotNull()
+    has_old, has_new = F.col(OLD_SIDE).isNotNull(), F.col(NEW_SIDE).isNotNull()
     same = reduce(
         Column.__and__,
-        [F.col(f"{_OLD}.{c}").eqNullSafe(F.col(f"{_NEW}.{c}")) for c in compare],
+        [F.col(f"{OLD_SIDE}.{c}").eqNullSafe(F.col(f"{NEW_SIDE}.{c}")) for c in compare],
         has_old & has_new,
     )
 
@@ -31,8 +31,8 @@ def net_changes(old: DataFrame, new: DataFrame, keys: list[str], compare: list[s
         fields = [F.col(f"{side}.{c}").alias(c) for c in columns]
         return F.struct(*fields, F.lit(action).alias(ACTION), (has_old & has_new).alias(IS_UPDATE))
 
-    removed = F.when(has_old, event(_OLD, "DELETE"))
-    added = F.when(has_new, event(_NEW, "INSERT"))
+    removed = F.when(has_old, event(OLD_SIDE, "DELETE"))
+    added = F.when(has_new, event(NEW_SIDE, "INSERT"))
     events = paired(old, new, keys).filter(~same).select(
         F.explode(F.array_compact(F.array(removed, added))).alias("e")
     )

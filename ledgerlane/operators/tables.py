@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..session import materialize
 from .latest import latest_per_key
 
-_OLD, _NEW = "__old", "__new"
+OLD_SIDE, NEW_SIDE = "__old", "__new"
 
 
 def paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -23,8 +23,8 @@ def paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     A struct is NULL when that side has no row, so a NULL *value* in a present row is kept apart
     from a missing row. Keys must be unique and not NULL on each side.
     """
-    left = old.select(*keys, F.struct(*old.columns).alias(_OLD))
-    right = new.select(*keys, F.struct(*new.columns).alias(_NEW))
+    left = old.select(*keys, F.struct(*old.columns).alias(OLD_SIDE))
+    right = new.select(*keys, F.struct(*new.columns).alias(NEW_SIDE))
     return left.join(right, keys, "full_outer")
 
 
@@ -37,14 +37,14 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: tuple[str, Co
     """
     types = {f.name: f.dataType for f in old.schema.fields}
     stamp_name = stamp[0] if stamp else None
-    present = F.col(_NEW).isNotNull()
+    present = F.col(NEW_SIDE).isNotNull()
     columns = []
     for name in old.columns:
-        kept = F.col(f"{_OLD}.{name}")
+        kept = F.col(f"{OLD_SIDE}.{name}")
         if name == stamp_name:
             columns.append(F.when(present, stamp[1]).otherwise(kept).alias(name))
         elif name in new.columns:
-            columns.append(F.when(present, F.col(f"{_NEW}.{name}").cast(types[name])).otherwise(kept).alias(name))
+            columns.append(F.when(present, F.col(f"{NEW_SIDE}.{name}").cast(types[name])).otherwise(kept).alias(name))
         else:
             columns.append(kept.alias(name))
     return paired(old, new, keys).select(*columns)
@@ -103,16 +103,16 @@ def rollback(log: DataFrame, keys: list[str], version, new_version, version_colu
     values = [c for c in before.columns if c not in keys]
     same = reduce(
         Column.__and__,
-        [F.col(f"{_OLD}.{c}").eqNullSafe(F.col(f"{_NEW}.{c}")) for c in values],
-        F.col(_OLD).isNotNull() & F.col(_NEW).isNotNull(),
+        [F.col(f"{OLD_SIDE}.{c}").eqNullSafe(F.col(f"{NEW_SIDE}.{c}")) for c in values],
+        F.col(OLD_SIDE).isNotNull() & F.col(NEW_SIDE).isNotNull(),
     )
     pairs = paired(now, before, keys).filter(~same)
-    gone = F.col(_NEW).isNull()
+    gone = F.col(NEW_SIDE).isNull()
     return pairs.select(
         *keys,
         F.lit(new_version).alias(version_column),
-        F.when(gone, F.lit(deleted)).otherwise(F.when(F.col(_OLD).isNull(), F.lit("INSERT")).otherwise(F.lit("UPDATE"))).alias(op_column),
-        *[F.when(gone, F.col(f"{_OLD}.{c}")).otherwise(F.col(f"{_NEW}.{c}")).alias(c) for c in values],
+        F.when(gone, F.lit(deleted)).otherwise(F.when(F.col(OLD_SIDE).isNull(), F.lit("INSERT")).otherwise(F.lit("UPDATE"))).alias(op_column),
+        *[F.when(gone, F.col(f"{OLD_SIDE}.{c}")).otherwise(F.col(f"{NEW_SIDE}.{c}")).alias(c) for c in values],
     ).select(*log.columns)
 
 
@@ -130,15 +130,17 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if table_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage: bool = True) -> None:
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage: bool = True, rebalance: bool = True) -> None:
     """Swap exactly the partitions that occur in ``df``; all other partitions stay.
 
     ``df`` may read from ``path``: it is written to the shared folder before anything in ``path``
     is touched, so a failed run can be repeated from there. ``stage=False`` is for rows that are a
-    written table already.
+    written table already. ``rebalance`` gathers the rows of each partition into files of a
+    sensible size, large partitions over many tasks; rows of a single partition do not need it.
     """
-    # Rebalance: whole files of a sensible size per partition, large partitions over many tasks.
-    rows = (materialize(df, "staged") if stage else df).hint("rebalance", *partition_by)
+    rows = materialize(df, "staged") if stage else df
+    if rebalance:
+        rows = rows.hint("rebalance", *partition_by)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

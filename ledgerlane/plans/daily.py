@@ -67,7 +67,7 @@ def upsert_day(path: str, rows: DataFrame, keys: list[str], date_column: str, as
     spark = rows.sparkSession
     stamped = rows.withColumn("load_timestamp", now.cast("timestamp"))
     old = _stored(spark, path, stamped).filter(F.col(date_column) == as_of)
-    replace_partitions(upsert(old, stamped, keys, ("load_timestamp", now.cast("timestamp"))), path, [date_column])
+    replace_partitions(upsert(old, stamped, keys, ("load_timestamp", now.cast("timestamp"))), path, [date_column], rebalance=False)
     return _stored(spark, path, stamped).filter(F.col(date_column) == as_of)
 
 
@@ -107,7 +107,7 @@ def run_day(
     current = al.alerts(alloc, customers, day)
     alerts_path = tables.path("rebalance_alerts")
     existing = _stored(spark, alerts_path, al.with_status(current)).filter(F.col("alert_date") == day)
-    replace_partitions(al.reissue(existing, current, day), alerts_path, ["alert_date"])
+    replace_partitions(al.reissue(existing, current, day), alerts_path, ["alert_date"], rebalance=False)
     issued = _stored(spark, alerts_path, al.with_status(current))
     log(run_step(
         al.on_day(issued, day, True), "REBALANCE_ALERTS", "ALERT_GENERATION",

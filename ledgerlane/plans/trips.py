@@ -60,6 +60,30 @@ def weather_view(observations: DataFrame, city_id: int | None = WEATHER_CITY_ID,
     return view if city_id is None else view.filter(F.col("station_id") == city_id)
 
 
+# Typed form of the observations. Reading with it (or ``from_json``) parses only the fields a query
+# uses, which a variant cannot promise; prefer it for large inputs.
+OBSERVATION_SCHEMA = (
+    "time timestamp, city struct<id: int, name: string, country: string, coord: struct<lat: double, lon: double>>, "
+    "clouds struct<all: int>, main struct<temp: double, temp_min: double, temp_max: double>, "
+    "weather array<struct<main: string, description: string, icon: string>>, wind struct<deg: double, speed: double>"
+)
+
+
+def weather_view_typed(observations: DataFrame, city_id: int | None = WEATHER_CITY_ID) -> DataFrame:
+    """The same view over rows of ``OBSERVATION_SCHEMA``; an empty weather list gives NULLs."""
+    first = F.get("weather", F.lit(0))
+    view = observations.select(
+        F.col("time").alias("observation_time"),
+        F.col("city.id").alias("station_id"), F.col("city.name").alias("city_name"), F.col("city.country").alias("country"),
+        F.col("city.coord.lat").alias("city_lat"), F.col("city.coord.lon").alias("city_lon"), F.col("clouds.all").alias("clouds"),
+        kelvin_to_celsius("main.temp").alias("temp_avg"), kelvin_to_celsius("main.temp_min").alias("temp_min"),
+        kelvin_to_celsius("main.temp_max").alias("temp_max"),
+        first["main"].alias("weather"), first["description"].alias("weather_desc"), first["icon"].alias("weather_icon"),
+        F.col("wind.deg").alias("wind_dir"), F.col("wind.speed").alias("wind_speed"),
+    )
+    return view if city_id is None else view.filter(F.col("station_id") == city_id)
+
+
 def weather_month(view: DataFrame, month_start) -> DataFrame:
     """Observations of one calendar month, given by its first day."""
     return view.filter(month_bucket("observation_time") == F.lit(month_start).cast("timestamp"))

@@ -85,11 +85,11 @@ def fields(*columns: tuple[str, str]) -> list[Field]:
     return [Field(name, kind, i + 1) for i, (name, kind) in enumerate(columns)]
 
 
-def _width(spec: Sequence[Field]) -> int:
+def width_of(spec: Sequence[Field]) -> int:
     return max(f.position for f in spec)
 
 
-def _text_schema(width: int) -> str:
+def text_schema(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width))
 
 
@@ -111,13 +111,13 @@ def text_columns(spark: SparkSession, paths: str | list[str], width: int, fmt: C
         spark.read.options(**fmt.options())
         .option("header", fmt.skip_header)
         .option("enforceSchema", True)
-        .schema(_text_schema(width))
+        .schema(text_schema(width))
         .csv(paths)
     )
     return frame if pattern is None else frame.filter(F.col("_metadata.file_path").rlike(pattern))
 
 
-def _tagged(frame: DataFrame, spec: Sequence[Field], keep: list[str]) -> DataFrame:
+def tag_columns(frame: DataFrame, spec: Sequence[Field], keep: list[str]) -> DataFrame:
     taken = {f.name for f in spec} & set(TAGS)
     if taken:
         raise ValueError(f"these names are used for tags: {sorted(taken)}")
@@ -134,13 +134,13 @@ def tag_rows(spark: SparkSession, paths: str | list[str], spec: Sequence[Field],
 
     One scan, no shuffle. ``place`` grows with the row order inside a file.
     """
-    width = _width(spec)
+    width = width_of(spec)
     frame = text_columns(spark, paths, width, fmt, pattern).select(
         F.col("_metadata.file_path").alias("file"),
         F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"),
         F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("raw"),
     )
-    return _tagged(frame, spec, ["file", "place"])
+    return tag_columns(frame, spec, ["file", "place"])
 
 
 def _is_bad() -> Column:
@@ -234,12 +234,12 @@ def validate_errors(spark: SparkSession, path: str | list[str], spec: Sequence[F
     Lines are parsed in place; only the failing ones are joined to the block index for their
     line number. Needs records without line breaks inside.
     """
-    width = _width(spec)
+    width = width_of(spec)
     lines = raw_lines(spark, path, fmt.record_delimiter, fmt.encoding)
-    parsed = F.from_csv("line", _text_schema(width), fmt.options())
+    parsed = F.from_csv("line", text_schema(width), fmt.options())
     frame = lines.withColumn("p", parsed).withColumn("raw", F.array(*[F.col(f"p._c{i}") for i in range(width)]))
     blank = F.trim("line") == ""
-    bad = _tagged(frame, spec, ["file", "block", "row", "line"]).filter(_is_bad() & ~blank)
+    bad = tag_columns(frame, spec, ["file", "block", "row", "line"]).filter(_is_bad() & ~blank)
     header = 1 if fmt.skip_header else 0
     return (
         place_lines(bad.select("file", "block", "row", "line", "errors"), block_index(lines))

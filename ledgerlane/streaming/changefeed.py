@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from ..functions.numeric import mean_of
 from ..operators.changes import net_changes
 from ..operators.latest import latest_per_key
-from ..operators.tables import _NEW, _OLD, paired, read_or_empty, replace_partitions, table_exists
+from ..operators.tables import NEW_SIDE, OLD_SIDE, paired, read_or_empty, replace_partitions, table_exists
 from ..plans.portfolio import customer_summary, positions
 from ..session import materialize
 from .loader import start
@@ -43,8 +43,8 @@ def _touched(df: DataFrame) -> list[int]:
 
 def merge_newest(old: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """Per key the side with the greater ``seq``."""
-    take_new = F.col(_NEW).isNotNull() & (F.col(_OLD).isNull() | (F.col(f"{_NEW}.seq") >= F.col(f"{_OLD}.seq")))
-    return paired(old, changes, keys).select(F.when(take_new, F.col(_NEW)).otherwise(F.col(_OLD)).alias("r")).select("r.*")
+    take_new = F.col(NEW_SIDE).isNotNull() & (F.col(OLD_SIDE).isNull() | (F.col(f"{NEW_SIDE}.seq") >= F.col(f"{OLD_SIDE}.seq")))
+    return paired(old, changes, keys).select(F.when(take_new, F.col(NEW_SIDE)).otherwise(F.col(OLD_SIDE)).alias("r")).select("r.*")
 
 
 @dataclass

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.delimited import CsvFormat, Field, LOADED, _tagged, _text_schema, _width, good_rows, load_report
+from ..sources.delimited import CsvFormat, Field, LOADED, tag_columns, text_schema, width_of, good_rows, load_report
 
 
 def start(query, trigger: dict | None) -> StreamingQuery:
@@ -32,12 +32,12 @@ def load_new_files(
     The checkpoint remembers which files were taken. Each micro-batch writes folders of its own
     number, so a batch that is repeated after a failure replaces itself.
     """
-    width = _width(spec)
+    width = width_of(spec)
     lines = (
         spark.readStream.options(**fmt.options())
         .option("header", fmt.skip_header)
         .option("maxFilesPerTrigger", max_files)
-        .schema(_text_schema(width))
+        .schema(text_schema(width))
         .csv(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                 F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("raw"))
@@ -45,7 +45,7 @@ def load_new_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         placed = batch.withColumn("place", F.struct("block", F.monotonically_increasing_id().alias("row")))
-        tagged = _tagged(placed, spec, ["file", "place"])
+        tagged = tag_columns(placed, spec, ["file", "place"])
         good_rows(tagged).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
         load_log(tagged, table).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 

@@ -62,7 +62,7 @@ UNION ALL SELECT {_SNAP_COLUMNS}, {_STAMP} FROM old_rows WHERE (customer_id + st
 UNION ALL SELECT {_SNAP_COLUMNS.replace(AS_OF, '2002-01-30')}, {_STAMP} FROM old_rows""")
 def upsert_day_table(r: Roles) -> DataFrame:
     """Two runs into a stored table partitioned by day; the partition of another day stays."""
-    old, new = _two_runs(r)
+    old, new = (materialize(rows, "run") for rows in _two_runs(r))
     path = workspace(r.spark, "snapshot-table")
     first = old.drop("load_timestamp")
     before = F.lit("2002-01-30").cast("date")

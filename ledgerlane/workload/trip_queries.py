@@ -49,6 +49,12 @@ def weather_view(r: Roles) -> DataFrame:
     return tp.weather_view(_variants(r))
 
 
+@query("weather_view_typed", f"{_VIEW} SELECT * REPLACE ({stamp('observation_time')} AS observation_time) FROM view_rows WHERE station_id = 5128638")
+def weather_view_typed(r: Roles) -> DataFrame:
+    typed = r.observations.select(F.from_json("body", tp.OBSERVATION_SCHEMA, {"timestampFormat": "yyyy-MM-dd HH:mm:ss"}).alias("o"))
+    return tp.weather_view_typed(typed.select("o.*"))
+
+
 @query("weather_month", f"""{_VIEW} SELECT {stamp('observation_time')} AS observation_time, station_id, weather FROM view_rows
 WHERE date_trunc('month', observation_time) = TIMESTAMP '2024-01-01 00:00:00'""")
 def weather_month(r: Roles) -> DataFrame:
