@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality, sql
+from . import pii, quality, sql
 
 QUERIES = {}
 SQL = dict(sql.SQL)
@@ -23,3 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_stop_words")
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda x: x["order"] < 4)
+    count = lambda k: F.size(F.filter("spans", lambda x: x["order"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{kind.name}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
+        F.array_join(F.transform("spans", lambda x: F.format_string("%.2f", x["score"])), ",").alias("scores"))

@@ -9,8 +9,8 @@ _STOPS = ", ".join(f"'{form}'" for w in sorted(set(STOP_WORDS)) for form in sort
 _OP7 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (
   SELECT rid, unnest(range(1, len(w) - 6)) AS i, w FROM d WHERE len(w) >= 8),
@@ -21,7 +21,7 @@ m AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words,
-         len(l) AS n_lines, len(list_filter(w, x -> x IN ({_STOPS}))) AS n_stop_words
+         len(l) AS n_lines, len(list_filter(w, lambda x: x IN ({_STOPS}))) AS n_stop_words
   FROM d LEFT JOIN cov USING (rid)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_lines, n_stop_words,
