@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pii, quality, sql
+from . import pieces, pii, quality, sql, token_files
 
 QUERIES = {}
 SQL = dict(sql.SQL)
@@ -34,3 +34,20 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[count(k).alias(f"n_{kind.name}") for k, kind in enumerate(pii.KINDS)],
         F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"),
         F.array_join(F.transform("spans", lambda x: F.format_string("%.2f", x["score"])), ",").alias("scores"))
+
+
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest, folder = token_files.write_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2)
+    return token_files.read_documents(spark, manifest, folder)
+
+
+@query
+def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
