@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pieces, pii, quality, sql, token_files
+from . import decontaminate, jaccard_join, pieces, pii, quality, sql, token_files
+from .shipping import ship
 
 QUERIES = {}
 SQL = dict(sql.SQL)
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    """Register ``fn(spark, sf_dir)`` under its name."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
@@ -51,3 +58,15 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", "similarity", "start", "distance")
