@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, jaccard_join, pieces, pii, quality, sql, token_files
+from . import chat, decontaminate, jaccard_join, pieces, pii, quality, sql, suffix_dedup, token_files
 from .shipping import ship
 
 QUERIES = {}
@@ -70,3 +70,21 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "item_id", "similarity", "start", "distance")
+
+
+# Planted: control strings inside texts.
+PLANTED_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_TEXT).alias("text"))
+    return chat.digests(chat.format_conversations(rows.unionByName(planted), tokenizer_file("byte_bpe_50k.json")))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
