@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, jaccard_join, pieces, pii, quality, sql, suffix_dedup, token_files
+from . import chat, decontaminate, jaccard_join, language_model, pieces, pii, quality, sql, suffix_dedup, token_files
 from .shipping import ship
 
 QUERIES = {}
@@ -88,3 +88,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
