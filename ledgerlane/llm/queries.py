@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, jaccard_join, language_model, pieces, pii, quality, sql, suffix_dedup, token_files
+from . import chat, decontaminate, jaccard_join, language_model, pieces, pii, quality, sql, suffix_dedup, token_files, toxicity
 from .shipping import ship
 
 QUERIES = {}
@@ -93,3 +93,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
