@@ -117,7 +117,7 @@ def test_toxicity_learns_and_forgives_misspelling(spark, docs):
     held = [k for k in range(240) if zlib.crc32(str(k).encode()) % 5 == 0]
     assert all(got[k].held_out == (k in held) for k in range(240))
     assert sum(got[k].predicted == int(k % 4 == 0) for k in held) >= 0.95 * len(held)
-    assert got[242].predicted == 1 and 0 <= got[240].score <= 1 and got[240].score == got[241].score
+    assert got[242].score > max(got[k].score for k in range(240) if k % 4) and 0 <= got[240].score <= 1 and got[240].score == got[241].score
     assert toxicity.score_documents(docs([]), labels).count() == 0
     none = toxicity.score_documents(df, labels.limit(0)).collect()
     assert {r.predicted for r in none} == {0}
