@@ -14,6 +14,9 @@ Nothing here hints a broadcast. A small side is broadcast by the planner, which
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
@@ -81,7 +84,8 @@ def hot_keys(counts: DataFrame, on: list[str], count: str = "n", min_rows: int =
     At most total rows / ``min_rows`` keys can qualify. The result is written, so the planner sees
     its true size when it decides about a broadcast.
     """
-    hot = counts.filter((F.col(count) > min_rows) & F.col(on[0]).isNotNull()).select(*on)
+    known = reduce(and_, (F.col(c).isNotNull() for c in on))
+    hot = counts.filter((F.col(count) > min_rows) & known).select(*on)
     return None if hot.isEmpty() else materialize(hot, "hot-keys")
 
 

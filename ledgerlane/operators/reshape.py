@@ -25,14 +25,22 @@ def max_pivot(df: DataFrame, keys: list[str], column: str, values: dict[str, str
     return df.groupBy(*keys).agg(*cells)
 
 
-def distinct_values(df: DataFrame, column: str, limit: int = 1000) -> list[str]:
-    """The values that become columns. A pivot wider than ``limit`` is refused, not cut."""
-    found = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
+def distinct_values(df: DataFrame, column: str, limit: int | None = None) -> list[str]:
+    """The values that become columns. A caller may give a ``limit``; a wider pivot is then refused, not cut."""
+    found = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    found = (found if limit is None else found.limit(limit + 1)).collect()
+    if limit is not None and len(found) > limit:
         raise ValueError(f"{column} has more than {limit} values, too many for columns")
     return sorted(r[0] for r in found)
 
 
+def share_rows(df: DataFrame, keys: list[str], column: str, cell: str, places: int = 2) -> DataFrame:
+    """The shares of ``share_pivot`` as rows (keys, column, share): needs no list of values, whatever their number."""
+    sums = df.filter(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.sum(cell).alias("__sum"))
+    totals = sums.groupBy(*keys).agg(F.sum("__sum").alias("__total"))
+    return sums.join(totals, keys).select(*keys, column, percent(F.col("__sum"), "__total", places).alias("share"))
+
+
 def share_pivot(df: DataFrame, keys: list[str], column: str, cell: str, values: list[str] | None = None, places: int = 2) -> DataFrame:
     """Pivot on every value, empty cells 0, each cell in percent of the row total."""
     values = distinct_values(df, column) if values is None else values

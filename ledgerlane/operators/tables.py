@@ -21,11 +21,13 @@ def paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join on the key: the key columns plus structs ``__old`` and ``__new``.
 
     A struct is NULL when that side has no row, so a NULL *value* in a present row is kept apart
-    from a missing row. Keys must be unique and not NULL on each side.
+    from a missing row. Keys must be unique on each side. A NULL in a key equals a NULL, so a run
+    that is repeated finds its own rows again.
     """
-    left = old.select(*keys, F.struct(*old.columns).alias(OLD_SIDE))
-    right = new.select(*keys, F.struct(*new.columns).alias(NEW_SIDE))
-    return left.join(right, keys, "full_outer")
+    left = old.select(*[F.col(k).alias(f"__old_{k}") for k in keys], F.struct(*old.columns).alias(OLD_SIDE))
+    right = new.select(*[F.col(k).alias(f"__new_{k}") for k in keys], F.struct(*new.columns).alias(NEW_SIDE))
+    both = left.join(right, [F.col(f"__old_{k}").eqNullSafe(F.col(f"__new_{k}")) for k in keys], "full_outer")
+    return both.select(*[F.coalesce(f"__old_{k}", f"__new_{k}").alias(k) for k in keys], OLD_SIDE, NEW_SIDE)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: tuple[str, Column] | None = None) -> DataFrame:
@@ -64,8 +66,9 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def missing_rows(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in ``old``."""
-    return new.join(old.select(*keys).distinct(), keys, "left_anti")
+    """Rows of ``new`` whose key is not in ``old``. A NULL in a key equals a NULL."""
+    there = old.select(*[F.col(k).alias(f"__old_{k}") for k in keys]).distinct()
+    return new.join(there, [F.col(k).eqNullSafe(F.col(f"__old_{k}")) for k in keys], "left_anti")
 
 
 def insert_if_absent(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -207,7 +207,7 @@ def allocation_detail(alloc: DataFrame, as_of: Column | dt.date) -> DataFrame:
 
 
 def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
-    """Flagged rows with an over/under label."""
+    """Flagged rows with an over/under label, greatest deviation first."""
     flagged = alloc.filter((F.col("snapshot_date") == as_of) & F.col("rebalance_flag"))
     deviation = F.col("deviation")
     return _with_customer(flagged, customers, ["customer_name", "sales_rep"]).select(
@@ -215,11 +215,11 @@ def misallocated(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date
         F.col("allocation_ratio").alias("current_ratio"), "target_ratio", "deviation",
         F.when(deviation > 0, OVERWEIGHT).when(deviation < 0, UNDERWEIGHT).otherwise(ON_TARGET).alias("allocation_status"),
         F.col("market_value").alias("sector_value"),
-    )
+    ).orderBy(F.abs("deviation").desc(), "customer_id", "sector")
 
 
 def customer_deviation(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date) -> DataFrame:
-    """Per customer with at least one flagged sector: counts, mean and greatest deviation."""
+    """Per customer with at least one flagged sector: counts, mean and greatest deviation, greatest mean first."""
     gap = F.abs("deviation")
     per_customer = (
         alloc.filter(F.col("snapshot_date") == as_of)
@@ -236,7 +236,7 @@ def customer_deviation(alloc: DataFrame, customers: DataFrame, as_of: Column | d
     return _with_customer(per_customer, customers, ["customer_name", "sales_rep"]).select(
         "customer_id", "customer_name", "risk_tolerance", "sales_rep", "total_sectors", "sectors_need_rebalance",
         "avg_abs_deviation", "max_abs_deviation", "total_portfolio_value",
-    )
+    ).orderBy(F.col("avg_abs_deviation").desc(), "customer_id")
 
 
 def risk_deviation(alloc: DataFrame, as_of: Column | dt.date) -> DataFrame:
@@ -299,13 +299,13 @@ def label_segments(df: DataFrame, labels: dict[str, str] = RISK_LABELS) -> DataF
 
 
 def rebalance_list(alloc: DataFrame, customers: DataFrame, as_of: Column | dt.date, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows whose stored deviation is at least the threshold (equality included)."""
+    """Rows whose stored deviation is at least the threshold (equality included), greatest first."""
     rows = alloc.filter((F.col("snapshot_date") == as_of) & (F.abs("deviation") >= threshold)).drop("risk_tolerance")
     return _with_customer(rows, customers, ["customer_name", "risk_tolerance"]).select(
         "customer_id", "customer_name", "risk_tolerance", "sector",
         F.col("allocation_ratio").alias("actual_pct"), F.col("target_ratio").alias("target_pct"),
         "deviation", "rebalance_flag",
-    )
+    ).orderBy(F.abs("deviation").desc(), "customer_id", "sector")
 
 
 def rebalance_counts(rows: DataFrame) -> DataFrame:
@@ -330,10 +330,13 @@ def sector_performance(pos: DataFrame) -> DataFrame:
 
 
 def hhi(pos: DataFrame) -> DataFrame:
-    """Concentration per customer: sum of squared sector shares (percent), 0 to 10000."""
+    """Concentration per customer: sum of squared sector shares (percent), 0 to 10000.
+
+    Short positions can push a share beyond 100 percent; shares of up to nine digits are exact.
+    """
     total = F.sum("sector_market_value").over(Window.partitionBy("customer_id"))
     shares = sector_values(pos.filter(F.col("sector").isNotNull())).withColumn("share", share_exact("sector_market_value", total))
-    exact = F.col("share").cast("decimal(9,6)")
+    exact = F.col("share").cast("decimal(15,6)")
     squared = exact * exact
     return shares.groupBy("customer_id").agg(F.round(F.sum(squared), 4).alias("hhi"))
 

@@ -155,9 +155,14 @@ def message_text(errors="errors") -> Column:
     return F.concat(F.lit("value does not fit column "), F.array_join(errors, ", "))
 
 
-def _error_bits(names: list[str]) -> Column:
-    """The failed columns of a row as bits of one number."""
-    return sum((F.when(F.array_contains("errors", n), F.lit(1 << i)).otherwise(F.lit(0)) for i, n in enumerate(names)), F.lit(0).cast("bigint"))
+# Columns per number of error bits; the sign bit stays free.
+MASK_BITS = 62
+
+
+def _error_bits(part: list[str]) -> Column:
+    """Which of these columns failed in a row, as bits of one number."""
+    marks = F.transform(F.filter("errors", lambda e: e.isin(part)), lambda e: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.array_position(F.array(*[F.lit(n) for n in part]), e).cast("int") - 1))
+    return F.aggregate(F.array_distinct(marks), F.lit(0).cast("bigint"), lambda total, m: total + m)
 
 
 def _failed_names(bits: Column, names: list[str]) -> Column:
@@ -204,21 +209,20 @@ def load_rows(tagged: DataFrame, on_error: str = CONTINUE) -> DataFrame:
 def load_report(tagged: DataFrame, failed_only: bool = False, by: Column | None = None) -> DataFrame:
     """Per file: rows parsed, loaded and failed, the first error and a status.
 
-    Everything that is aggregated is a number (the first error travels as bits), so this is one
-    hash aggregation without sorting the rows.
+    Everything that is aggregated is a number (the first error travels as bits, one number per
+    ``MASK_BITS`` columns), so this is one hash aggregation without sorting the rows.
     """
     bad = _is_bad()
     names = _target_columns(tagged)
-    if len(names) > 62:
-        raise ValueError("a load report covers at most 62 columns")
+    parts = [names[k : k + MASK_BITS] for k in range(0, len(names), MASK_BITS)]
     counts = tagged.groupBy((F.col("file") if by is None else by).alias("file_name")).agg(
         F.count(F.lit(1)).alias("row_parsed"),
         F.count_if(~bad).alias("row_count"),
         F.count_if(bad).alias("error_count"),
-        F.min_by(_error_bits(names), F.when(bad, _row_order())).alias("first_error"),
+        *[F.min_by(_error_bits(part), F.when(bad, _row_order())).alias(f"first_error_{k}") for k, part in enumerate(parts)],
     )
     status = F.when(F.col("error_count") == 0, LOADED).when(F.col("row_count") == 0, FAILED).otherwise(PARTIAL)
-    first = F.when(F.col("error_count") > 0, message_text(_failed_names(F.col("first_error"), names)))
+    first = F.when(F.col("error_count") > 0, message_text(F.concat(*[_failed_names(F.col(f"first_error_{k}"), part) for k, part in enumerate(parts)])))
     report = counts.select("file_name", "row_parsed", "row_count", "error_count", first.alias("first_error_message"), status.alias("status"))
     return report.filter(F.col("error_count") > 0) if failed_only else report
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-SINGLE_FILE_ROWS = 1_000_000
+from ..session import materialize
 
 
 def with_defaults(df: DataFrame, schema: StructType, defaults: dict[str, Column]) -> DataFrame:
@@ -26,12 +26,12 @@ def append(df: DataFrame, path: str, schema: StructType, defaults: dict[str, Col
 
 
 def unload_csv(df: DataFrame, path: str, single: bool = False, header: bool = False, compression: str = "none") -> None:
-    """Export as CSV, in parallel. ``single`` gives one file and is for small results only:
+    """Export as CSV, in parallel. ``single`` gives one file of any size.
 
-    a result above ``SINGLE_FILE_ROWS`` is refused (not cut), because one task would write it.
+    The result is computed and written by all tasks first; only then one task copies the finished rows into the
+    file, in their order.
     """
     if single:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows for a single file; export with single=False")
-        df = df.coalesce(1)  # keeps the order of a sorted result
+        rows = materialize(df.select("*", F.monotonically_increasing_id().alias("__at")), "unload")
+        df = rows.orderBy("__at").coalesce(1).drop("__at")
     df.write.mode("overwrite").option("compression", compression).option("header", header).csv(path)

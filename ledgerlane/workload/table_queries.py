@@ -46,12 +46,12 @@ _ALLOC_OUT = f"""'{AS_OF}' AS snapshot_date, customer_id, risk_tolerance, sector
 
 
 @query("upsert_allocation", f"""{ALLOC}
-SELECT {_ALLOC_OUT}, {_STAMP} FROM alloc WHERE sector IS NOT NULL AND customer_id % 4 <> 0
+SELECT {_ALLOC_OUT}, {_STAMP} FROM alloc WHERE customer_id % 4 <> 0
 UNION ALL SELECT {_ALLOC_OUT.replace('deviation, rebalance_flag', 'deviation, NOT rebalance_flag AS rebalance_flag')}, {_OLD_STAMP}
-FROM alloc WHERE sector IS NOT NULL AND customer_id % 4 = 0""")
+FROM alloc WHERE customer_id % 4 = 0""")
 def upsert_allocation(r: Roles) -> DataFrame:
     """The stored day holds every second customer with other flags; the new run leaves out every fourth."""
-    rows = materialize(r.allocation.filter(F.col("sector").isNotNull()), "allocation")
+    rows = materialize(r.allocation, "allocation")
     old = rows.filter(F.col("customer_id") % 2 == 0).withColumn("rebalance_flag", ~F.col("rebalance_flag")).withColumn("load_timestamp", F.lit(EARLIER).cast("timestamp"))
     return tb.upsert(old, rows.filter(F.col("customer_id") % 4 != 0), pf.ALLOCATION_KEY, ("load_timestamp", r.now))
 
@@ -93,11 +93,11 @@ def delete_where(r: Roles) -> DataFrame:
 _ALERT = f"customer_id, sector, {dbl('deviation')} AS deviation"
 
 
-@query("insert_if_absent", f"""{ALERTS}, known AS (SELECT * FROM alert_rows WHERE sector IS NOT NULL)
+@query("insert_if_absent", f"""{ALERTS}, known AS (SELECT * FROM alert_rows)
 SELECT {_ALERT}, alert_status FROM known WHERE customer_id % 3 = 0 UNION ALL SELECT {_ALERT}, 'OPEN' FROM known WHERE customer_id % 3 <> 0""")
 def insert_if_absent(r: Roles) -> DataFrame:
     """A third of the alerts is there already, some of them closed: those are not issued again."""
-    stored = materialize(r.alerts.filter(F.col("sector").isNotNull()), "alerts")
+    stored = materialize(r.alerts, "alerts")
     existing = stored.filter(F.col("customer_id") % 3 == 0)
     return al.issue_missing(existing, stored.drop("alert_status")).select("customer_id", "sector", "deviation", "alert_status")
 
@@ -230,7 +230,7 @@ def sink_csv_unload(r: Roles) -> DataFrame:
 
 @query("daily_run", f"""{ALERTS}
 SELECT sales_rep, customer_id, customer_name, risk_tolerance, sector, {dbl('current_ratio')} AS current_ratio, {dbl('target_ratio')} AS target_ratio,
-  {dbl('deviation')} AS deviation, recommended_action FROM alert_rows WHERE sector IS NOT NULL""")
+  {dbl('deviation')} AS deviation, recommended_action FROM alert_rows""")
 def daily_run(r: Roles) -> DataFrame:
     """Load, value, compare, alert and report, with prices from files; returns the mail rows."""
     files = workspace(r.spark, "price-files")
@@ -242,4 +242,4 @@ def daily_run(r: Roles) -> DataFrame:
     as_of = dt.date.fromisoformat(AS_OF)
     holdings = r.holdings.withColumn("stock_code", F.col("stock_code").cast("string"))
     report = daily.run_day(r.spark, tables, files, holdings, r.customers, r.targets, as_of, dt.datetime.fromisoformat(NOW))
-    return report.filter(F.col("sector").isNotNull())
+    return report

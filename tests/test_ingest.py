@@ -156,3 +156,22 @@ def test_append_and_unload(spark, tmp_path):
         unload_csv(rows, str(tmp_path / "out"), single=True)
     parts = list((tmp_path / "out").glob("part-*"))
     assert len(parts) == 1 and parts[0].read_text() == "1\n2\n"
+
+
+def test_load_report_of_seventy_columns(spark, tmp_path):
+    names = [f"c{k}" for k in range(70)]
+    good, bad = ["1"] * 70, ["1"] * 70
+    bad[3] = bad[65] = "x"
+    (tmp_path / "wide.csv").write_text("\n".join(",".join(r) for r in (names, good, bad)) + "\n")
+    tagged = dl.tag_rows(spark, str(tmp_path), dl.fields(*[(n, "int") for n in names]))
+    r = dl.load_report(tagged).collect()[0]
+    assert (r["row_parsed"], r["row_count"], r["error_count"]) == (2, 1, 1)
+    assert "c3" in r["first_error_message"] and "c65" in r["first_error_message"]
+
+
+def test_single_file_export_keeps_a_parallel_stage_and_the_order(spark, tmp_path):
+    rows = spark.range(1_100_000, numPartitions=7).orderBy(F.col("id").desc())
+    unload_csv(rows, str(tmp_path / "big"), single=True)
+    parts = list((tmp_path / "big").glob("part-*"))
+    lines = parts[0].read_text().split()
+    assert len(parts) == 1 and lines == [str(k) for k in range(1_099_999, -1, -1)]

@@ -202,3 +202,22 @@ def test_pivots(spark):
 def test_top_per_key(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("g"), "id")
     assert values(top_per_key(df, ["g"], ["id"], 2)) == [(0, 96), (0, 99), (1, 94), (1, 97), (2, 95), (2, 98)]
+
+
+def test_null_keys_match_themselves(spark):
+    rows = spark.createDataFrame([(1, None, 5), (1, "a", 6), (None, "b", 7)], "c int, s string, v int")
+    again = tb.upsert(rows, rows.withColumn("v", F.col("v") + 1), ["c", "s"])
+    assert sorted(r["v"] for r in again.collect()) == [6, 7, 8]
+    assert tb.insert_if_absent(rows, rows, ["c", "s"]).count() == 3
+
+
+def test_pivot_wider_than_a_thousand_values(spark):
+    df = spark.range(1500).select(F.lit(1).alias("k"), F.concat(F.lit("v"), "id").alias("s"), F.lit(2).alias("n"))
+    assert len(reshape.distinct_values(df, "s")) == 1500
+    shares = reshape.share_rows(df, ["k"], "s", "n", 4).collect()
+    assert len(shares) == 1500 and {float(r["share"]) for r in shares} == {0.0667}
+
+
+def test_hot_keys_leave_out_a_null_in_any_key(spark):
+    counts = spark.createDataFrame([(1, None, 500), (1, 2, 500), (None, 2, 500)], "a int, b int, n long")
+    assert values(joins.hot_keys(counts, ["a", "b"], min_rows=100)) == [(1, 2)]
