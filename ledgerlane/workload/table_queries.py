@@ -10,7 +10,7 @@ from ..operators import changes as ch, tables as tb
 from ..plans import alerts as al, daily, portfolio as pf
 from ..session import materialize, workspace
 from ..sources.sinks import append, unload_csv, with_defaults
-from .registry import query
+from .registry import SQL, query
 from .roles import ALERTS, ALLOC, AS_OF, NOW, POS, Roles, dbl, pct
 
 EARLIER = "2002-01-01 00:00:00"
@@ -243,3 +243,7 @@ def daily_run(r: Roles) -> DataFrame:
     holdings = r.holdings.withColumn("stock_code", F.col("stock_code").cast("string"))
     report = daily.run_day(r.spark, tables, files, holdings, r.customers, r.targets, as_of, dt.datetime.fromisoformat(NOW))
     return report
+
+
+# The same chain under the name of the survey.
+query("daily_pipeline", SQL["daily_run"])(daily_run)

@@ -197,3 +197,9 @@ def test_summaries_agree(spark, pos):
     assert (checks["record_count"], checks["customer_count"]) == (30, 10)
     risk = by(pf.risk_deviation(pf.allocation(pf.snapshot(pos, DAY), b.customers(spark), b.targets(spark), DAY), DAY), "risk_tolerance")
     assert sum(r["rebalance_needed_count"] for r in risk.values()) == 24 and sum(r["total_allocations"] for r in risk.values()) == 25
+
+
+def test_concentration_with_a_share_of_ten_thousand_percent(spark):
+    pos = spark.createDataFrame([(1, "a", Decimal("1000.00")), (1, "b", Decimal("-990.00"))], "customer_id long, sector string, market_value decimal(18,2)")
+    got = pf.hhi(pos).collect()[0]["hhi"]
+    assert got == Decimal("10000.0000") ** 2 + Decimal("9900.0000") ** 2
