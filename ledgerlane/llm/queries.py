@@ -81,7 +81,8 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PLANTED_TEXT).alias("text"))
-    return chat.digests(chat.format_conversations(rows.unionByName(planted), tokenizer_file("byte_bpe_50k.json")))
+    found = chat.digests(chat.format_conversations(rows.unionByName(planted), tokenizer_file("byte_bpe_50k.json")))
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
 
 
 @query
