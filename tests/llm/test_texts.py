@@ -164,6 +164,21 @@ def test_refined_scores_are_a_distribution():
         assert sum(of) == pytest.approx(before)
 
 
+def test_long_unseen_words_cost_in_proportion_to_their_length(docs):
+    """Nothing of a long word goes unscored."""
+    for length in (200, 400, 800, 1600):
+        alone = np.array([-2.0 * length])
+        assert language_model.refined(alone, np.zeros(1), np.zeros(1, int)) == pytest.approx(alone[0] + np.log10(0.1))
+    texts = ["some plain words to learn from"] * 20 + ["".join(chr(33 + k * k * 31 % 89 + (k // 89) % 5) for k in range(n)) for n in (2000, 4000, 8000)]
+    ids = [k for k in range(100) if zlib.crc32(str(k).encode()) % 10 == 0][:3]
+    df = docs(["some plain words to learn from"] * 100)
+    rows = [(r.doc_id, texts[20 + ids.index(r.doc_id)] if r.doc_id in ids else r.text) for r in df.collect()]
+    got = {r.doc_id: r for r in language_model.score_documents(df.sparkSession.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].held_out for i in ids)
+    rates = [got[i].bits_per_byte for i in ids]
+    assert min(rates) > 1 and max(rates) < 1.1 * min(rates)
+
+
 def test_cache_is_bounded_and_right():
     cache = caches.WordCache(lambda words: [w.upper() for w in words], limit=50)
     for k in range(20):
