@@ -179,6 +179,38 @@ def test_long_unseen_words_cost_in_proportion_to_their_length(docs):
     assert min(rates) > 1 and max(rates) < 1.1 * min(rates)
 
 
+def test_counts_of_contexts_are_exact_at_any_size(spark):
+    """Every context keeps its own zeros and ones, however many there are."""
+    from collections import Counter
+
+    words = [f"{k * 7919 % 100_000:05d}{k % 13}x".encode() for k in range(60_000)] + [language_model.END, b"aaaa"]
+    told = [k % 4 for k in range(len(words))]
+    want, contexts = Counter(), set()
+    for w, c in zip(words, told):
+        spelled = w if w == language_model.END else w + b" "
+        for at, byte in enumerate(spelled):
+            bits = f"{byte:08b}"
+            for j in range(8):
+                want[spelled[:at], bits[:j], int(bits[j])] += c
+                contexts.add((spelled[:at], bits[:j]))
+    assert len(contexts) > 2 * language_model.SLOTS
+    chunks = language_model.word_chunks(spark.createDataFrame(list(zip(words, told)), "word binary, c long").repartition(3))
+    seen = 0
+    for r in language_model.context_counts(chunks, 8).collect():
+        mine = [bytes(w) for w in r.words]
+        d = language_model.Decisions(mine)
+        counts = language_model.Mixer.of(d, r.counts, None).counts[-1][d.slots[-1]].reshape(-1, 8, 2)
+        n = 0
+        for w in mine:
+            spelled = w if w == language_model.END else w + b" "
+            for at in range(len(spelled)):
+                bits = f"{spelled[at]:08b}"
+                assert [tuple(x) for x in counts[n]] == [(want[spelled[:at], bits[:j], 0], want[spelled[:at], bits[:j], 1]) for j in range(8)]
+                n += 1
+        seen += len(mine)
+    assert seen == len(words) and language_model.ORDERS == 5
+
+
 def test_cache_is_bounded_and_right():
     cache = caches.WordCache(lambda words: [w.upper() for w in words], limit=50)
     for k in range(20):
