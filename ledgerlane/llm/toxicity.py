@@ -3,7 +3,8 @@
 A word is the bag of its character n-grams, each hashed to one of ``FEATURES`` embeddings; a stretch of
 ``STRETCH`` words is the mean of its words' means, and a linear softmax over it gives the chance of toxicity. A misspelt word
 shares most n-grams, and so most of its vector, with the word it stands for. A text is as toxic as its most toxic
-stretch, so that a few words count in a long text; every word of every text is looked at.
+stretch, so that a few words count in a long text; every word of every text is looked at. A run of more than ``RUN`` characters
+without white space is cut into pieces of ``PIECE`` characters that overlap by half; each piece is a word.
 
 Learning uses at most ``TRAIN_ROWS`` labelled rows and ``TRAIN_BYTES`` bytes of text, those with the
 smallest hash of their id, of rows whose crc32(id as text) modulo ``FOLDS`` is not 0. As the model is linear, an n-gram's
@@ -27,6 +28,8 @@ from .caches import WordCache
 FEATURES = 1 << 17
 DIMENSIONS = 6
 STRETCH = 8
+RUN = 64
+PIECE = 16
 GRAMS = (3, 4, 5)
 EPOCHS = 50
 MEAN_EPOCHS = 10
@@ -39,12 +42,18 @@ TRAIN_BYTES = 24 << 20
 
 
 def words_of(text: str) -> list[bytes]:
-    return text.lower().encode().split()
+    out = []
+    for word in text.lower().encode().split():
+        if len(word) <= RUN or len(run := word.decode()) <= RUN:
+            out.append(word)
+        else:
+            out += [run[k : k + PIECE].encode() for k in range(0, len(run) - PIECE // 2, PIECE // 2)]
+    return out
 
 
 def features(word: bytes) -> list[int]:
     """Hashed n-grams of a word between marks, and the word itself."""
-    marked = "<" + word.decode()[:64] + ">"
+    marked = "<" + word.decode() + ">"
     found = {marked} | {marked[k : k + n] for n in GRAMS for k in range(len(marked) - n + 1)}
     return [zlib.crc32(g.encode()) % FEATURES for g in sorted(found)]
 

@@ -123,6 +123,26 @@ def test_toxicity_learns_and_forgives_misspelling(spark, docs):
     assert {r.predicted for r in none} == {0}
 
 
+def test_toxicity_looks_at_all_of_a_long_run(spark, docs):
+    """A toxic word far inside a run without white space counts, in any script."""
+    for n in (64, 65, 71, 72, 73, 100, 1000):
+        run = "".join(chr(0x4E00 + k) for k in range(n))
+        words = [w.decode() for w in toxicity.words_of(f"a {run} b")]
+        held = {run[k : k + size] for size in toxicity.GRAMS for k in range(n - size + 1)}
+        assert all(any(g in w for w in words) for g in held) and max(map(len, words)) <= toxicity.RUN
+    random.seed(7)
+    usual = ["lorem", "ipsum", "dolor", "amet", "sit", "elit", "magna", "aliqua", "veniam", "quis"]
+    texts = [" ".join(random.choices(usual, k=40)) + (" you stupid idiot " if k % 4 == 0 else " you kind friend ") + " ".join(random.choices(usual, k=20)) for k in range(240)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(240)], "doc_id long, toxic int")
+    runs = []
+    for mark in ("_", ".", "\u00a0", "\u200b"):
+        harmless = mark.join(usual * 2)
+        assert len(harmless) > 100
+        runs += [harmless + mark + "kind" + mark + "friend", harmless + mark + "stupid" + mark + "idiot"]
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs([*texts, *runs]), labels).collect()}
+    assert all(got[k + 1] > 2 * got[k] and got[k + 1] > got[k] + 0.1 for k in range(240, 240 + len(runs), 2)), [got[k] for k in range(240, 240 + len(runs))]
+
+
 def test_language_model_base_and_gain(docs, corpus):
     import math
     from collections import Counter
