@@ -87,35 +87,52 @@ class PositionState:
         return after, touched
 
 
-def refresh_summary(
-    changes: DataFrame,
+def _known_dimensions(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Version and folders (customers, prices) of the dimensions that the summaries were last computed with."""
+    if not table_exists(spark, f"{path}/versions"):
+        return 0, []
+    last = spark.read.parquet(f"{path}/versions").orderBy(F.desc("version")).first()
+    return last.version, [last.customers, last.prices]
+
+
+def refresh_buckets(
+    spark: SparkSession,
     dims: Callable[[], tuple[DataFrame, DataFrame]],
     state: PositionState,
     summary_path: str,
     segment_path: str,
-    checkpoint: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Keep the customer summary, and the segment summary built on it, up to date.
-
-    ``dims`` gives (customers, latest prices) at the time of a batch. Totals are computed again
-    from the positions of the touched buckets, never added up, so updates and deletes are exact.
-    ``trigger`` is the freshness target, for example ``{"processingTime": "5 minutes"}``.
+    touched: list[int] = (),
+) -> list[int]:
+    """Compute the ``touched`` buckets again, and every bucket with a customer or stock that changed since the last refresh.
+
+    Call it without ``touched`` when customers or prices changed and no positions did, between
+    batches of the stream. Returns the refreshed buckets. The dimensions used are kept beside the
+    summary, and named as the last version only after both tables are written, so a refresh that
+    failed finds the same changes again.
     """
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        after, touched = state.merge(batch)
-        if not touched:
-            return
-        customers, prices = dims()
-        live = after.filter(~F.col("deleted"))
-        fresh = customer_summary(positions(live, prices), customers).withColumn("bucket", bucket_of("customer_id", state.buckets))
-        # One mark per touched bucket, so that a bucket that became empty is replaced as well.
-        marks = spark.createDataFrame([(b,) for b in touched], "bucket int")
+    kept = f"{summary_path}_dims"
+    version, folders = _known_dimensions(spark, kept)
+    names, keys = ("customers", "prices"), ("customer_id", "stock_code")
+    now = [materialize(df, name) for name, df in zip(names, dims())]
+    live = state.live(spark)
+    affected, moved = set(touched), not folders
+    if not folders:
+        affected.update(_touched(live))
+    for folder, df, key in zip(folders, now, keys):
+        changed = net_changes(spark.read.schema(df.schema).parquet(folder), df, [key]).select(key).distinct()
+        changed = materialize(changed, "changed")
+        if not changed.isEmpty():
+            moved = True
+            affected.update(_touched(live.join(changed, key, "left_semi")))
+    if affected:
+        customers, prices = now
+        numbers = sorted(affected)
+        fresh = customer_summary(positions(live.filter(F.col("bucket").isin(numbers)), prices), customers).withColumn("bucket", bucket_of("customer_id", state.buckets))
+        # One mark per refreshed bucket, so that a bucket that became empty is replaced as well.
+        marks = spark.createDataFrame([(b,) for b in numbers], "bucket int")
         # Both tables follow from the state alone, so a repeated batch simply writes them again.
         replace_partitions(fresh.unionByName(marks, allowMissingColumns=True), summary_path, ["bucket"], stage=False)
-        written = spark.read.schema(fresh.schema).parquet(summary_path).filter(F.col("bucket").isin(touched))
+        written = spark.read.schema(fresh.schema).parquet(summary_path).filter(F.col("bucket").isin(numbers))
         parts = written.groupBy("bucket", "risk_tolerance").agg(
             F.count("customer_id").alias("customer_count"),
             F.sum("overall_return_pct").alias("sum_return"),
@@ -124,6 +141,35 @@ def refresh_summary(
             F.sum("total_current_value").alias("total_current_value"),
         )
         replace_partitions(parts, segment_path, ["bucket"], stage=False)
+    if moved:
+        paths = [f"{kept}/{name}/version={version + 1}" for name in names]
+        for df, path in zip(now, paths):
+            df.write.mode("overwrite").parquet(path)
+        spark.createDataFrame([(version + 1, *paths)], "version long, customers string, prices string").coalesce(1).write.mode("append").parquet(f"{kept}/versions")
+    return sorted(affected)
+
+
+def refresh_summary(
+    changes: DataFrame,
+    dims: Callable[[], tuple[DataFrame, DataFrame]],
+    state: PositionState,
+    summary_path: str,
+    segment_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the customer summary, and the segment summary built on it, up to date.
+
+    ``dims`` gives (customers, latest prices) at the time of a batch, one row per customer and per
+    stock. Totals are computed again from the positions of the touched buckets, and of those with a
+    changed customer or stock, never added up, so updates and deletes are exact. A stream without
+    new holdings runs no batch; ``refresh_buckets`` then brings in changes of the dimensions.
+    ``trigger`` is the freshness target, for example ``{"processingTime": "5 minutes"}``.
+    """
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        _, touched = state.merge(batch)
+        refresh_buckets(batch.sparkSession, dims, state, summary_path, segment_path, touched)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     return start(writer, trigger)

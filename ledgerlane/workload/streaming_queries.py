@@ -48,17 +48,31 @@ def _stream(r: Roles) -> tuple[DataFrame, StructType]:
     return r.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path), schema
 
 
+def _dims_at(r: Roles, stage: int) -> tuple[DataFrame, DataFrame]:
+    """Customers and prices as they move: at first all differ from the end, then every fourth, then none."""
+    def before(key: str, name: str, value):
+        return F.when((F.col(key) % 4 == 0) | F.lit(stage == 0), value).otherwise(F.col(name)) if stage < 2 else F.col(name)
+
+    price, risk = F.col("closing_price"), F.col("risk_tolerance")
+    return (
+        r.customers.withColumn("risk_tolerance", before("customer_id", "risk_tolerance", F.concat(F.lit("OLD "), risk))),
+        r.prices.withColumn("closing_price", before("stock_code", "closing_price", price + 7).cast("decimal(12,2)")))
+
+
 def _refresh(r: Roles, trigger: dict | None = None) -> str:
+    """Customers and prices change after the first batch, and once more when all holdings are in."""
     changes, schema = _stream(r)
     base = workspace(r.spark, "refresh")
     state = cf.PositionState(f"{base}/state", schema, BUCKETS)
-    job = cf.refresh_summary(
-        changes, lambda: (r.customers, r.prices), state, f"{base}/summary", f"{base}/segments", f"{base}/checkpoint", trigger)
+    tables = (state, f"{base}/summary", f"{base}/segments")
+    stages = iter([0])
+    job = cf.refresh_summary(changes, lambda: _dims_at(r, next(stages, 1)), *tables, f"{base}/checkpoint", trigger)
     if trigger is None:
         job.awaitTermination()
     else:
         job.processAllAvailable()
         job.stop()
+    cf.refresh_buckets(r.spark, lambda: _dims_at(r, 2), *tables)
     return base
 
 

@@ -51,6 +51,42 @@ def test_refreshed_summary_equals_batch_for_any_order(spark, tmp_path):
     assert [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(segments.collect())] == [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(batch.collect())]
 
 
+def test_changed_prices_and_customers_reach_every_bucket(spark, tmp_path):
+    state = cf.PositionState(str(tmp_path / "state"), spark.createDataFrame([], FEED).schema, 4)
+    paths = (str(tmp_path / "summary"), str(tmp_path / "segments"))
+    rows, dims = feed_rows(), [b.customers(spark), b.prices(spark)]
+
+    def check(holdings):
+        want = pf.customer_summary(pf.positions(holdings, dims[1]), dims[0])
+        got = cf.read_summary(spark, paths[0]).select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        segments = cf.read_segments(spark, paths[1])
+        batch = pf.segment_summary(want).select(*segments.columns)
+        assert [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(segments.collect())] == [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(batch.collect())]
+
+    def load(part):
+        spark.createDataFrame(part, FEED).write.mode("append").parquet(str(tmp_path / "feed"))
+        feed = spark.readStream.schema(FEED).parquet(str(tmp_path / "feed"))
+        cf.refresh_summary(feed, lambda: tuple(dims), state, *paths, str(tmp_path / "ck")).awaitTermination()
+
+    load(rows[:30])
+    first = spark.createDataFrame([r[:4] for r in rows[:30]], "customer_id string, stock_code string, quantity decimal(10,0), avg_purchase_price decimal(12,2)")
+    check(first)
+    # Prices move together with a batch that touches two or three customers only.
+    dims[1] = dims[1].withColumn("closing_price", (F.col("closing_price") * 2).cast("decimal(12,2)"))
+    load(rows[30:])
+    check(final_holdings(spark))
+    # A customer, then a price, move without any holdings.
+    dims[0] = dims[0].withColumn("risk_tolerance", F.when(F.col("customer_id") == "C002", "other").otherwise(F.col("risk_tolerance")))
+    assert len(cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths)) == 1
+    check(final_holdings(spark))
+    stock = rows[0][1]
+    dims[1] = dims[1].filter(F.col("stock_code") != stock)
+    assert cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths)
+    check(final_holdings(spark))
+    assert cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths) == []
+
+
 def test_change_log_and_repeated_batch(spark, tmp_path):
     state = cf.PositionState(str(tmp_path / "state"), spark.createDataFrame([], FEED).schema, 4)
     rows = feed_rows()
