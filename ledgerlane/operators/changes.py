@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .tables import NEW_SIDE, OLD_SIDE, paired
+from .tables import NEW_SIDE, OLD_SIDE, paired, table_exists
 
 ACTION, IS_UPDATE, ROW_ID = "action", "is_update", "row_id"
+OFFSET = "OFFSET"
 
 
 def net_changes(old: DataFrame, new: DataFrame, keys: list[str], compare: list[str] | None = None) -> DataFrame:
@@ -45,3 +47,55 @@ def apply_changes(state: DataFrame, changes: DataFrame, keys: list[str]) -> Data
     written = changes.filter(F.col(ACTION) == "INSERT").select(*state.columns)
     touched = deleted.unionByName(written.select(*keys))
     return state.join(touched, keys, "left_anti").unionByName(written)
+
+
+@dataclass
+class ConsumedChanges:
+    """A table of published versions, the log of its net changes, and how far the log has consumed them.
+
+    All is in ``path``. A log folder holds the changes up to its version and, in the same write, a row that marks the
+    version as consumed; the offset is the last version so marked. Reading ``pending`` never moves it. One writer at a time.
+    """
+
+    path: str
+    keys: list[str]
+
+    def _version(self, spark: SparkSession) -> int:
+        versions = f"{self.path}/versions"
+        return spark.read.parquet(versions).agg(F.max("version")).first()[0] if table_exists(spark, versions) else 0
+
+    def _state(self, spark: SparkSession, version: int) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/table/v{version}")
+
+    def publish(self, state: DataFrame) -> int:
+        """Write the next version of the table; it counts once its number is written. The first one starts the log."""
+        spark = state.sparkSession
+        version = self._version(spark) + 1
+        state.write.mode("overwrite").parquet(f"{self.path}/table/v{version}")
+        if version == 1:
+            first = self._state(spark, 1)
+            self._record(net_changes(first, first, self.keys).limit(0), 1)
+        spark.createDataFrame([(version,)], "version long").coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+        return version
+
+    def _record(self, changes: DataFrame, version: int) -> None:
+        mark = changes.sparkSession.createDataFrame([(OFFSET,)], f"{ACTION} string")
+        changes.unionByName(mark, allowMissingColumns=True).write.mode("overwrite").parquet(f"{self.path}/log/version={version}")
+
+    def offset(self, spark: SparkSession) -> int:
+        """The last version that was consumed."""
+        return spark.read.parquet(f"{self.path}/log").filter(F.col(ACTION) == OFFSET).agg(F.max("version")).first()[0]
+
+    def pending(self, spark: SparkSession) -> DataFrame:
+        """Net changes since the last consumed version."""
+        return net_changes(self._state(spark, self.offset(spark)), self._state(spark, self._version(spark)), self.keys)
+
+    def consume(self, spark: SparkSession) -> None:
+        """Write the pending changes to the log, which moves the offset."""
+        version = self._version(spark)
+        if version > self.offset(spark):
+            self._record(self.pending(spark), version)
+
+    def logged(self, spark: SparkSession) -> DataFrame:
+        """All consumed changes with the version that brought them."""
+        return spark.read.parquet(f"{self.path}/log").filter(F.col(ACTION) != OFFSET)

@@ -221,3 +221,34 @@ def test_pivot_wider_than_a_thousand_values(spark):
 def test_hot_keys_leave_out_a_null_in_any_key(spark):
     counts = spark.createDataFrame([(1, None, 500), (1, 2, 500), (None, 2, 500)], "a int, b int, n long")
     assert values(joins.hot_keys(counts, ["a", "b"], min_rows=100)) == [(1, 2)]
+
+
+def test_consuming_moves_the_stored_offset_and_reading_does_not(spark, tmp_path):
+    path, columns = str(tmp_path / "orders"), "k int, v string"
+
+    def opened():
+        return ch.ConsumedChanges(path, ["k"])
+
+    def events(df):
+        return sorted((r.k, r.v, r.action, r.is_update) for r in df.collect())
+
+    opened().publish(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], columns))
+    assert opened().offset(spark) == 1 and events(opened().pending(spark)) == []
+    opened().publish(spark.createDataFrame([(1, "a"), (2, "c")], columns))
+    opened().publish(spark.createDataFrame([(1, "a"), (2, "d"), (4, "e")], columns))
+    want = sorted([(2, "b", "DELETE", True), (2, "d", "INSERT", True), (3, None, "DELETE", False), (4, "e", "INSERT", False)], key=str)
+    for _ in range(2):
+        assert sorted(events(opened().pending(spark)), key=str) == want
+        assert opened().offset(spark) == 1 and opened().logged(spark).count() == 0
+    opened().consume(spark)
+    assert opened().offset(spark) == 3 and events(opened().pending(spark)) == []
+    opened().consume(spark)
+    # A version without changes is consumed as well.
+    opened().publish(spark.createDataFrame([(4, "e"), (2, "d"), (1, "a")], columns))
+    opened().consume(spark)
+    assert opened().offset(spark) == 4
+    opened().publish(spark.createDataFrame([(4, "e"), (2, "d")], columns))
+    assert events(opened().pending(spark)) == [(1, "a", "DELETE", False)]
+    opened().consume(spark)
+    logged = sorted((r.version, r.k, r.v, r.action) for r in opened().logged(spark).filter("k <> 3").collect())
+    assert logged == [(3, 2, "b", "DELETE"), (3, 2, "d", "INSERT"), (3, 4, "e", "INSERT"), (5, 1, "a", "DELETE")]
