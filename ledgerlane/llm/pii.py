@@ -108,6 +108,9 @@ def _scored(text: Column, kind: Kind, order: int) -> Column:
     def rated(x: Column) -> Column:
         begin = F.greatest(x["start"] - CONTEXT_CHARS, F.lit(0))
         near = F.lower(F.substring(text, begin + 1, x["start"] - begin)).rlike(kind.context)
+        # A context that ends at the span is only looked for before it.
+        if not kind.context.endswith("$"):
+            near = near | F.lower(F.substring(text, x["end"] + 1, F.lit(CONTEXT_CHARS))).rlike(kind.context)
         score = F.lit(kind.score) + F.when(near, CONTEXT_GAIN).otherwise(0.0)
         return F.struct(F.lit(order).alias("order"), x["start"].alias("start"), x["end"].alias("end"), score.alias("score"))
 

@@ -70,6 +70,14 @@ def test_added_kinds_need_a_checksum_or_a_context(docs):
     assert added[10] == ["iban"]  # the first number has a wrong checksum
 
 
+def test_context_counts_on_either_side(docs):
+    far = " and so on for a long way" * 2
+    got = found(docs(["my ssn is 123-45-6789", "123-45-6789 is my social security number", "123-45-6789 (SSN)", f"123-45-6789{far} ssn", f"ssn{far} 123-45-6789",
+                      "0123456789abcdef0123 token = ", 'token = "0123456789abcdef0123"']))
+    assert [[s[0] for s in got[k]] for k in range(7)] == [["ssn"], ["ssn"], ["ssn"], [], [], [], ["secret"]]
+    assert got[2] == [("ssn", 0, 11)]
+
+
 def test_redaction(docs):
     rows = {r.doc_id: r for r in pii.redact(docs(TEXTS)).collect()}
     assert rows[0].text is None and rows[1].text == "" and rows[0].spans == "x"
