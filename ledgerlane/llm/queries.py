@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, jaccard_join, language_model, pieces, pii, quality, sql, suffix_dedup, token_files, toxicity
+from . import chat, decontaminate, jaccard_join, language_model, pieces, pii, prefix_trie, quality, sql, substring_dedup, suffix_dedup, token_files, toxicity, whitening
 from .shipping import ship
 
 QUERIES = {}
@@ -99,3 +99,28 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """Conversations (conv_id, turns) whose first turns, at most three, are those of the last conversation before with an id divisible by 20."""
+    heads = turns.filter("conv_id % 20 = 0").select(F.col("conv_id").alias("source"), F.slice("turns", 1, 3).alias("head"))
+    own = turns.withColumn("source", F.expr("conv_id - conv_id % 20")).withColumn("h", (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int"))
+    taken = F.when(F.col("head").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("head", F.lit(1), F.col("h")))
+    return own.join(heads, "source", "left").select("conv_id", F.concat(taken, F.slice("turns", F.col("h") + 1, F.size("turns"))).alias("turns"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.conversations(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(rebuilt(turns)).drop("key")
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -43,6 +43,14 @@ def prefix_sums(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def number_sums(values: np.ndarray) -> np.ndarray:
+    """The same for 64-bit numbers, such as hashes of words."""
+    up, _ = _powers(len(values))
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=out[1:])
+    return out
+
+
 def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     _, down = _powers(len(sums) - 1)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))

@@ -94,5 +94,16 @@ def without_repeats(rows, length=100):
     return out
 
 
+def without_repeated_words(texts, length=35):
+    """For each text (words, removed, digest of the rest)."""
+    lists = [words(t) for t in texts]
+    often = Counter(tuple(w[k : k + length]) for w in lists for k in range(len(w) - length + 1))
+    out = []
+    for w in lists:
+        gone = {k + j for k in range(len(w) - length + 1) if often[tuple(w[k : k + length])] > 1 for j in range(length)}
+        out.append((len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return out
+
+
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
