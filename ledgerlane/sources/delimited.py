@@ -1,12 +1,16 @@
 """Delimited files: inspect, load with typed columns, and handle rows that do not fit.
 
 A file is always read as text columns first and then cast column by column. A row is bad when a
-value is there but does not cast; reader modes are never used to decide that, because they see
+value is there but does not cast, or when a quote is never closed; reader modes are never used to decide that, because they see
 only the columns a query happens to need.
+
+A record is a line, unless a quoted field holds a line break or one is escaped. One pass over the lines finds the files in which that may be;
+only these go through ``blocks.cut_files``, which still reads a large file with many tasks. All others are read line by line.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -15,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import spread_join
 from ..session import materialize
+from .blocks import DelimitedRecords, cut_files, read_pieces
 from .lines import block_index, place_lines, raw_lines
 
 # Load states and error policies.
@@ -26,22 +31,34 @@ TAGS = ("file", "place", "raw", "bad", "errors")
 
 @dataclass(frozen=True)
 class CsvFormat:
-    """A named file format. Compression is recognised by the file extension."""
+    """A named file format. Compression is recognised by the file extension.
+
+    Inside of quotes a doubled quote stands for one, and ``escape``, if there is one, takes the next character as it is; outside,
+    ``escape_unenclosed`` does. Other encodings than UTF-8 are read line by line.
+    """
 
     delimiter: str = ","
     quote: str = '"'
-    escape: str = "\\"
+    escape: str | None = None
+    escape_unenclosed: str | None = "\\"
     skip_header: bool = True
     trim: bool = False
     null_text: str = ""
     record_delimiter: str | None = None
     encoding: str = "UTF-8"
 
+    def inner(self) -> str | None:
+        return None if self.escape == self.quote else self.escape
+
+    def cutter(self) -> DelimitedRecords:
+        return DelimitedRecords(self.delimiter, self.quote, self.inner(), self.escape_unenclosed, self.record_delimiter or "\n")
+
     def options(self) -> dict[str, str]:
+        """For Spark's own reader, which looks at columns and guesses types."""
         found = {
             "sep": self.delimiter,
             "quote": self.quote,
-            "escape": self.escape,
+            "escape": self.inner() or self.quote,
             "ignoreLeadingWhiteSpace": str(self.trim).lower(),
             "ignoreTrailingWhiteSpace": str(self.trim).lower(),
             "nullValue": self.null_text,
@@ -53,6 +70,46 @@ class CsvFormat:
             found["lineSep"] = self.record_delimiter
         return found
 
+    def line_options(self) -> dict[str, str]:
+        """For whole lines as one column, header lines left out: a separator that is no character, and no quotes."""
+        found = {"sep": "\uffff", "quote": "", "escape": "\0", "header": str(self.skip_header).lower(), "enforceSchema": "true", "encoding": self.encoding, "maxCharsPerColumn": "-1"}
+        return {**found, "lineSep": self.record_delimiter} if self.record_delimiter else found
+
+    def _atoms(self) -> tuple[str, str]:
+        """Patterns of what is inside a quoted field and of what is in an unquoted one, without backtracking."""
+        q, d = (re.escape(x) for x in (self.quote, self.delimiter))
+        one = f"[^{d}{re.escape(self.escape_unenclosed or '')}]++" if len(self.delimiter) == 1 else f"(?!{d})" + (f"[^{re.escape(self.escape_unenclosed)}]" if self.escape_unenclosed else ".")
+        outside = one + (f"|{re.escape(self.escape_unenclosed)}." if self.escape_unenclosed else "")
+        inside = f"[^{q}{re.escape(self.inner() or '')}]++|{q}{q}" + (f"|{re.escape(self.inner())}." if self.inner() else "")
+        return f"(?:{inside})*+", f"(?:{outside})*+"
+
+    def split(self, record: Column) -> Column:
+        """The fields of a record as an array of text; an empty one, as given by ``null_text``, is NULL."""
+        q, d = (re.escape(x) for x in (self.quote, self.delimiter))
+        inside, outside = self._atoms()
+        quoted = f"{q}{inside}{q}"
+        cut = F.regexp_extract_all(F.concat(F.lit(self.delimiter), record), F.lit(f"(?s){d}({quoted}{outside}|{outside})"), F.lit(1))
+
+        def text(x: Column) -> Column:
+            body = F.regexp_extract(x, f"(?s)^{q}({inside}){q}", 1)
+            rest = x.substr(F.length(body) + 1 + 2 * len(self.quote), F.length(x))
+            plain = F.regexp_replace(body, f"(?s){q}({q})" + (f"|{re.escape(self.inner())}(.)" if self.inner() else ""), "$1$2" if self.inner() else "$1")
+            bare = F.regexp_replace(x, f"(?s){re.escape(self.escape_unenclosed)}(.)", "$1") if self.escape_unenclosed else x
+            return F.when(x.rlike(f"(?s)^{quoted}"), F.concat(plain, rest)).otherwise(F.trim(bare) if self.trim else bare)
+
+        simple = F.split(record, d, -1)
+        special = F.contains(record, F.lit(self.quote)) | (F.contains(record, F.lit(self.escape_unenclosed)) if self.escape_unenclosed else F.lit(False))
+        fields = F.when(special, F.transform(cut, text)).otherwise(F.transform(simple, F.trim) if self.trim else simple)
+        return F.transform(fields, lambda x: F.nullif(x, F.lit(self.null_text)))
+
+    def may_go_on(self, line: Column) -> Column:
+        """True for every line that may not end its record; for some others too."""
+        q, d = (re.escape(x) for x in (self.quote, self.delimiter))
+        inside, _ = self._atoms()
+        closed = F.regexp_replace(line, f"(?s)(?<![^{d[-1] if len(self.delimiter) > 1 else d}]){q}{inside}{q}", "")
+        found = F.contains(line, F.lit(self.quote)) & F.contains(closed, F.lit(self.quote))
+        return found | line.rlike(re.escape(self.escape_unenclosed) + r"\r?$") if self.escape_unenclosed else found
+
 
 @dataclass(frozen=True)
 class Field:
@@ -105,24 +162,61 @@ def preview(spark: SparkSession, path: str, width: int, n: int = 10, fmt: CsvFor
     return text_columns(spark, path, width, fmt).limit(n)
 
 
+# More files with records over several lines than this, and all files go that way.
+MANY_FILES = 10_000
+
+
+def _going_on(spark: SparkSession, paths: str | list[str], fmt: CsvFormat) -> list[str] | None:
+    """The files in which a record may go over several lines; None for too many to name."""
+    if fmt.encoding.upper().replace("-", "") != "UTF8":
+        return []
+    lines = read_pieces(spark, paths, fmt.record_delimiter or "\n")
+    found = lines.filter(fmt.may_go_on(F.col("piece"))).select("file").distinct().limit(MANY_FILES + 1).collect()
+    return None if len(found) > MANY_FILES else [r.file for r in found]
+
+
+def _cut_records(spark: SparkSession, paths: str | list[str], fmt: CsvFormat) -> DataFrame:
+    """file, line_no, record and whether it was closed, for files with records over several lines; header and blank records left out."""
+    units = cut_files(spark, paths, fmt.cutter()).filter(F.col("first") > (1 if fmt.skip_header else 0))
+    record = F.regexp_replace("text", r"\r$", "")
+    return units.select("file", F.col("first").alias("line_no"), record.alias("record"), (~(F.col("broken") & F.col("ends_file"))).alias("closed")).filter(F.trim("record") != "")
+
+
+def records(spark: SparkSession, paths: str | list[str], fmt: CsvFormat = CsvFormat(), pattern: str | None = None) -> DataFrame:
+    """file, place, record and closed of every record without header lines. ``place`` grows with the order inside a file."""
+    going_on = _going_on(spark, paths, fmt)
+    found = []
+    if going_on is not None:
+        lines = spark.read.options(**fmt.line_options()).schema("record string").csv(paths).filter(F.trim("record") != "")
+        place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+        plain = lines.select(F.col("_metadata.file_path").alias("file"), place.alias("place"), "record", F.lit(True).alias("closed"))
+        found.append(plain.filter(~F.col("file").isin(going_on)) if going_on else plain)
+    if going_on is None or going_on:
+        cut = _cut_records(spark, paths if going_on is None else going_on, fmt)
+        found.append(cut.select("file", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("line_no").alias("row")).alias("place"), "record", "closed"))
+    rows = reduce(DataFrame.unionByName, found)
+    return rows if pattern is None else rows.filter(F.col("file").rlike(pattern))
+
+
 def text_columns(spark: SparkSession, paths: str | list[str], width: int, fmt: CsvFormat = CsvFormat(), pattern: str | None = None) -> DataFrame:
     """Positional text columns ``_c0 ...``. Short rows are filled with NULL, long rows cut to ``width``."""
-    frame = (
-        spark.read.options(**fmt.options())
-        .option("header", fmt.skip_header)
-        .option("enforceSchema", True)
-        .schema(text_schema(width))
-        .csv(paths)
-    )
-    return frame if pattern is None else frame.filter(F.col("_metadata.file_path").rlike(pattern))
+    rows = records(spark, paths, fmt, pattern).select(fmt.split(F.col("record")).alias("fields"))
+    return rows.select(*[F.get("fields", F.lit(i)).alias(f"_c{i}") for i in range(width)])
+
+
+# Fixed value: what stands in ``errors`` for a quote that is never closed.
+UNCLOSED = "(quote)"
 
 
-def tag_columns(frame: DataFrame, spec: Sequence[Field], keep: list[str]) -> DataFrame:
+def tag_columns(frame: DataFrame, spec: Sequence[Field], keep: list[str], closed: Column | None = None) -> DataFrame:
+    """``frame`` has ``raw``, the fields as an array; ``closed`` is false for rows with a quote that is never closed."""
     taken = {f.name for f in spec} & set(TAGS)
     if taken:
         raise ValueError(f"these names are used for tags: {sorted(taken)}")
     failed = [F.when(f.failed(), F.lit(f.name)) for f in spec]
     bad = reduce(Column.__or__, [f.failed() for f in spec])
+    if closed is not None:
+        failed, bad = [F.when(~closed, F.lit(UNCLOSED)), *failed], bad | ~closed
     # ``bad`` decides, ``errors`` explains; a load of good rows never builds the array.
     return frame.select(
         *keep, "raw", *[f.value().alias(f.name) for f in spec], bad.alias("bad"), F.array_compact(F.array(*failed)).alias("errors")
@@ -134,13 +228,15 @@ def tag_rows(spark: SparkSession, paths: str | list[str], spec: Sequence[Field],
 
     One scan, no shuffle. ``place`` grows with the row order inside a file.
     """
+    rows = records(spark, paths, fmt, pattern).withColumn("raw", _fields(fmt, spec))
+    return tag_columns(rows, spec, ["file", "place"], F.col("closed"))
+
+
+def _fields(fmt: CsvFormat, spec: Sequence[Field]) -> Column:
+    """As many fields as the positions need, missing ones NULL; split once per row."""
     width = width_of(spec)
-    frame = text_columns(spark, paths, width, fmt, pattern).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"),
-        F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("raw"),
-    )
-    return tag_columns(frame, spec, ["file", "place"])
+    split = fmt.split(F.col("record"))
+    return F.get(F.transform(F.array(split), lambda x: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.get(x, i))), F.lit(0))
 
 
 def _is_bad() -> Column:
@@ -152,7 +248,8 @@ def _target_columns(tagged: DataFrame) -> list[str]:
 
 
 def message_text(errors="errors") -> Column:
-    return F.concat(F.lit("value does not fit column "), F.array_join(errors, ", "))
+    names = errors if isinstance(errors, Column) else F.col(errors)
+    return F.when(F.array_contains(names, UNCLOSED), "quote is never closed").otherwise(F.concat(F.lit("value does not fit column "), F.array_join(names, ", ")))
 
 
 # Columns per number of error bits; the sign bit stays free.
@@ -213,7 +310,7 @@ def load_report(tagged: DataFrame, failed_only: bool = False, by: Column | None
     ``MASK_BITS`` columns), so this is one hash aggregation without sorting the rows.
     """
     bad = _is_bad()
-    names = _target_columns(tagged)
+    names = [*_target_columns(tagged), UNCLOSED]
     parts = [names[k : k + MASK_BITS] for k in range(0, len(names), MASK_BITS)]
     counts = tagged.groupBy((F.col("file") if by is None else by).alias("file_name")).agg(
         F.count(F.lit(1)).alias("row_parsed"),
@@ -236,21 +333,23 @@ def validate_errors(spark: SparkSession, path: str | list[str], spec: Sequence[F
     """Rows that would fail, with file, exact line number, column and raw line.
 
     Lines are parsed in place; only the failing ones are joined to the block index for their
-    line number. Needs records without line breaks inside.
+    line number. A record over several lines has the number of its first one.
     """
-    width = width_of(spec)
-    lines = raw_lines(spark, path, fmt.record_delimiter, fmt.encoding)
-    parsed = F.from_csv("line", text_schema(width), fmt.options())
-    frame = lines.withColumn("p", parsed).withColumn("raw", F.array(*[F.col(f"p._c{i}") for i in range(width)]))
-    blank = F.trim("line") == ""
-    bad = tag_columns(frame, spec, ["file", "block", "row", "line"]).filter(_is_bad() & ~blank)
+    columns = ["file", "line_no", "line", "errors"]
     header = 1 if fmt.skip_header else 0
-    return (
-        place_lines(bad.select("file", "block", "row", "line", "errors"), block_index(lines))
-        .filter(F.col("line_no") > header)
-        .select("file", "line_no", F.explode("errors").alias("column_name"), "line",
-                F.concat(F.lit("value does not fit column "), F.col("column_name")).alias("message"))
-    )
+    going_on = _going_on(spark, path, fmt)
+    found = []
+    if going_on is not None:
+        lines = raw_lines(spark, path, fmt.record_delimiter, fmt.encoding)
+        lines = lines.filter(~F.col("file").isin(going_on)) if going_on else lines
+        frame = lines.withColumn("record", F.col("line")).withColumn("raw", _fields(fmt, spec))
+        bad = tag_columns(frame, spec, ["file", "block", "row", "line"]).filter(_is_bad() & (F.trim("line") != ""))
+        found.append(place_lines(bad.select("file", "block", "row", "line", "errors"), block_index(lines)).filter(F.col("line_no") > header).select(columns))
+    if going_on is None or going_on:
+        cut = _cut_records(spark, path if going_on is None else going_on, fmt).withColumn("line", F.col("record")).withColumn("raw", _fields(fmt, spec))
+        found.append(tag_columns(cut, spec, ["file", "line_no", "line"], F.col("closed")).filter(_is_bad()).select(columns))
+    return reduce(DataFrame.unionByName, found).select(
+        "file", "line_no", F.explode("errors").alias("column_name"), "line", message_text(F.array("column_name")).alias("message"))
 
 
 def repair(rejected: DataFrame, spec: Sequence[Field], constants: dict[str, object]) -> DataFrame:

@@ -3,9 +3,11 @@ key arithmetic, and then loads those files; its SQL twin works on the table itse
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.semistructured import at
+from ..operators.tables import read_or_empty
 from ..session import materialize, workspace
 from ..sources import delimited as dl, files as fl, lines as ln
 from ..streaming.loader import load_new_files
@@ -44,10 +46,13 @@ def order_text(r: Roles) -> DataFrame:
         price.alias("price"), date.alias("order_date"), F.concat("o_orderstatus", F.lit(', "'), "o_orderpriority", F.lit('"')).alias("status"))
 
 
-def write_orders(r: Roles) -> str:
-    """CSV files in one folder per group, with header lines. Each task writes its own files."""
+def write_orders(r: Roles, in_order: bool = False) -> str:
+    """CSV files in one folder per group, with header lines. Each task writes its own files; ``in_order`` gives one file a group, by order."""
     path = workspace(r.spark, "csv")
-    order_text(r).write.partitionBy("part").option("header", True).option("escape", "\\").csv(path)
+    rows = order_text(r)
+    if in_order:
+        rows = rows.repartition("part").sortWithinPartitions("part", F.col("order_id").cast("bigint"))
+    rows.write.partitionBy("part").option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -69,22 +74,18 @@ def src_infer_schema(r: Roles) -> DataFrame:
     return dl.infer_csv_schema(r.spark, write_orders(r) + "/part=*").drop("nullable")
 
 
-@query("src_preview", "SELECT 10 AS rows_seen, 5 AS columns_seen, count(*) AS rows_all FROM orders")
+@query("src_preview", f"""WITH {_TEXT}
+SELECT order_id, customer_id, price, order_date, status FROM text_rows WHERE part = 1 ORDER BY CAST(order_id AS BIGINT) LIMIT 10""")
 def src_preview(r: Roles) -> DataFrame:
-    paths = _paths(write_orders(r))
-    seen = dl.preview(r.spark, paths, 5, 10)
-    everything = dl.text_columns(r.spark, paths, 5)
-    return everything.agg(F.count(F.lit(1)).alias("rows_all")).select(
-        seen.agg(F.count(F.lit(1)).cast("int")).scalar().alias("rows_seen"), F.lit(len(seen.columns)).alias("columns_seen"), "rows_all")
+    """The first ten rows of a file that is in the order of its keys, as text."""
+    return dl.preview(r.spark, _paths(write_orders(r, in_order=True))[1], 5, 10).toDF("order_id", "customer_id", "price", "order_date", "status")
 
 
 @query("src_raw_lines", f"""WITH {_TEXT}
-SELECT sha256(order_id || ',' || customer_id || ',' || coalesce(price, '') || ',' || order_date) AS v, count(*) AS n FROM text_rows GROUP BY 1""")
+SELECT sha256(order_id || ',' || customer_id || ',' || coalesce(price, '') || ',' || order_date || ',"' || replace(status, '"', '""') || '"') AS v, count(*) AS n FROM text_rows GROUP BY 1""")
 def src_raw_lines(r: Roles) -> DataFrame:
-    """Whole lines, the header left out and the quoted last column cut off for the comparison."""
-    path = workspace(r.spark, "lines")
-    order_text(r).select("order_id", "customer_id", "price", "order_date").write.option("header", True).option("nullValue", "").csv(path)
-    body = ln.raw_lines(r.spark, path).filter(~F.col("line").startswith("order_id,"))
+    """Whole lines; the header is left out for the comparison."""
+    body = ln.raw_lines(r.spark, _paths(write_orders(r))).filter(~F.col("line").startswith("order_id,"))
     return body.groupBy(F.sha2("line", 256).alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -103,12 +104,14 @@ def src_typed_csv(r: Roles) -> DataFrame:
 
 
 @query("src_csv_options", """
-SELECT CAST(p_partkey AS VARCHAR) AS id, ' ' || p_name || '|' || p_brand || ' ' AS label, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS kind, CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS size FROM part""")
+SELECT CAST(p_partkey AS VARCHAR) AS id, ' ' || p_name || '|"' || p_brand || '"' || CASE WHEN p_partkey % 11 = 0 THEN chr(10) ELSE ' ' END AS label,
+  CASE WHEN p_partkey % 3 <> 0 THEN p_type || CASE WHEN p_partkey % 2 = 0 THEN '|x' || chr(92) ELSE '' END END AS kind, CASE WHEN p_partkey % 5 <> 0 THEN CAST(p_size AS VARCHAR) END AS size FROM part""")
 def src_csv_options(r: Roles) -> DataFrame:
-    """Delimiter, quotes, escapes, blanks kept, empty text as NULL, short rows, gzip files."""
+    """Delimiter, doubled quotes and line breaks in quotes, escapes outside of quotes, blanks kept, empty text as NULL, short rows, gzip files."""
     key = F.col("p_partkey")
-    quoted = F.concat(F.lit('"'), F.lit(" "), "p_name", F.lit("|"), "p_brand", F.lit(' "'))
-    line = F.concat_ws("|", key.cast("string"), quoted, F.when(key % 3 != 0, F.col("p_type")).otherwise(""))
+    quoted = F.concat(F.lit('" '), "p_name", F.lit('|""'), "p_brand", F.lit('""'), F.when(key % 11 == 0, "\n").otherwise(" "), F.lit('"'))
+    kind = F.concat("p_type", F.when(key % 2 == 0, "\\|x\\\\").otherwise(""))
+    line = F.concat_ws("|", key.cast("string"), quoted, F.when(key % 3 != 0, kind).otherwise(""))
     line = F.when(key % 5 != 0, F.concat(line, F.lit("|"), F.col("p_size").cast("string"))).otherwise(line)
     path = workspace(r.spark, "piped")
     r.table("part").select(line.alias("value")).write.option("compression", "gzip").text(path)
@@ -160,21 +163,20 @@ def src_incremental_files(r: Roles) -> DataFrame:
 # ---- validation and error handling ---------------------------------------------------------
 
 
-@query("load_validate_errors", f"""WITH {_TEXT}
-SELECT order_id, 'price' AS column_name, 'value does not fit column price' AS message, TRUE AS numbered FROM typed WHERE bad_price
-UNION ALL SELECT order_id, 'order_date', 'value does not fit column order_date', TRUE FROM typed WHERE bad_date""")
+@query("load_validate_errors", f"""WITH {_TEXT},
+numbered AS (SELECT *, 1 + row_number() OVER (PARTITION BY part ORDER BY CAST(order_id AS BIGINT)) AS line_no FROM typed)
+SELECT part, line_no, order_id, 'price' AS column_name, 'value does not fit column price' AS message FROM numbered WHERE bad_price
+UNION ALL SELECT part, line_no, order_id, 'order_date', 'value does not fit column order_date' FROM numbered WHERE bad_date""")
 def load_validate_errors(r: Roles) -> DataFrame:
-    found = dl.validate_errors(r.spark, _paths(write_orders(r)), SPEC)
-    return found.select(F.substring_index("line", ",", 1).alias("order_id"), "column_name", "message", (F.col("line_no") > 1).alias("numbered"))
+    """Bad values with their lines in files that are in the order of their keys."""
+    found = dl.validate_errors(r.spark, _paths(write_orders(r, in_order=True)), SPEC)
+    return found.select(folder("file").alias("part"), "line_no", F.substring_index("line", ",", 1).alias("order_id"), "column_name", "message")
 
 
-@query("load_validate_rows", f"WITH {_TEXT} SELECT 1 AS checked, count(*) AS clean FROM typed WHERE {_GOOD}")
+@query("load_validate_rows", f"WITH {_TEXT} SELECT {_ROW} FROM typed WHERE part = 3 ORDER BY CAST(order_id AS BIGINT) LIMIT 7")
 def load_validate_rows(r: Roles) -> DataFrame:
-    """The first row of the clean group, next to the number of clean rows of all groups."""
-    paths = _paths(write_orders(r))
-    first = dl.validate_rows(dl.tag_rows(r.spark, paths[3], SPEC), 1)
-    clean = dl.good_rows(dl.tag_rows(r.spark, paths, SPEC))
-    return clean.agg(F.count(F.lit(1)).alias("clean")).withColumn("checked", first.agg(F.count(F.lit(1)).cast("int")).scalar())
+    """The first rows of the clean group, converted."""
+    return dl.validate_rows(dl.tag_rows(r.spark, _paths(write_orders(r, in_order=True))[3], SPEC), 7)
 
 
 @query("load_on_error_continue", f"WITH {_TEXT} SELECT {_ROW} FROM typed WHERE {_GOOD}")
@@ -182,12 +184,22 @@ def load_on_error_continue(r: Roles) -> DataFrame:
     return dl.load_rows(tagged(r), dl.CONTINUE)
 
 
-@query("load_on_error_abort", f"WITH {_TEXT} SELECT {_ROW} FROM typed WHERE {_GOOD}")
+@query("load_on_error_abort", f"""WITH {_TEXT}
+SELECT 'clean' AS load, {_ROW} FROM typed WHERE part = 3
+UNION ALL SELECT 'value does not fit column', NULL, NULL, NULL, NULL, NULL""")
 def load_on_error_abort(r: Roles) -> DataFrame:
-    """All-or-nothing load of rows that were cleaned before; a bad row would fail the job."""
-    clean = workspace(r.spark, "clean")
-    dl.good_rows(tagged(r)).write.option("header", True).option("escape", "\\").csv(clean)
-    return dl.load_rows(dl.tag_rows(r.spark, clean, SPEC), dl.ABORT)
+    """All or nothing: the load of all files meets a bad row, fails and leaves nothing; the load of the clean group is whole."""
+    paths, target = _paths(write_orders(r)), workspace(r.spark, "abort")
+    try:
+        dl.load_rows(dl.tag_rows(r.spark, paths, SPEC), dl.ABORT).write.parquet(f"{target}/all")
+        said = "not aborted"
+    except PySparkException as error:
+        said = "value does not fit column" if "load aborted: value does not fit column" in str(error) else str(error)
+    dl.load_rows(dl.tag_rows(r.spark, paths[3], SPEC), dl.ABORT).write.parquet(f"{target}/clean")
+    clean = r.spark.read.parquet(f"{target}/clean").withColumn("load", F.lit("clean"))
+    left = read_or_empty(r.spark, f"{target}/all", clean.drop("load").schema).withColumn("load", F.lit("all"))
+    aborted = r.spark.createDataFrame([(said,)], "load string")
+    return clean.unionByName(left).unionByName(aborted, allowMissingColumns=True).select("load", *[f.name for f in SPEC])
 
 
 @query("load_on_error_skip_file", f"""WITH {_TEXT}, broken AS (SELECT DISTINCT part FROM typed WHERE bad_price OR bad_date)
