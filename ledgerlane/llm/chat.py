@@ -16,18 +16,24 @@ their own, and a NULL conversation id is a conversation like any other. An empty
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .caches import slices
+
 # The control strings of the template.
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]"]
 _ESCAPE = re.compile(r"([<\[])(\\*)(/?(?:s>|INST\]))")
 _UNESCAPE = re.compile(r"([<\[])\\(\\*)(/?(?:s>|INST\]))")
 _TURN = re.compile(r"<s>\[INST\] (.*?) \[/INST\](.*?)</s>", re.S)
+# Text encoded at a time; the library holds the tokens of a slice as objects.
+SLICE_BYTES = 1 << 20
 _ENCODERS: dict = {}
 
 
@@ -87,6 +93,19 @@ def masked_texts(formatted: str, offsets: np.ndarray, mask: np.ndarray) -> list[
     return [unescape(formatted[a:b]) for a, b in out]
 
 
+def encoded(tokenizer, batch: pa.RecordBatch, trained: str) -> pa.RecordBatch:
+    """Conversations (conv_id, roles, texts) rendered, encoded with offsets, and masked."""
+    rendered = [render(list(zip(r, t)), trained) for r, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+    found = tokenizer.encode_batch([f for f, _ in rendered], add_special_tokens=False)
+    offsets = [np.array(e.offsets, np.int32).reshape(-1, 2) for e in found]
+    ids = [np.array(e.ids, np.int32) for e in found]
+    masks = [loss_mask(o, spans) for o, (_, spans) in zip(offsets, rendered)]
+    ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+    flat = np.concatenate([np.empty((0, 2), np.int32), *offsets])
+    lists = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(v))) for v in (np.concatenate([np.empty(0, np.int32), *ids]), flat[:, 0], flat[:, 1], np.concatenate([np.empty(0, bool), *masks]))]
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array([f for f, _ in rendered], pa.string()), *lists], names=["conv_id", "formatted", "ids", "starts", "ends", "loss_mask"])
+
+
 def format_conversations(rows: DataFrame, tokenizer_path: str, trained: str = "assistant", conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """conv_id, formatted, ids, offsets_start, offsets_end and loss_mask per conversation."""
     quoted = [F.col(f"`{c}`") for c in (turn, role, text)]
@@ -96,20 +115,13 @@ def format_conversations(rows: DataFrame, tokenizer_path: str, trained: str = "a
     whole = whole.select("conv_id", F.transform("turns", lambda t: t["role"]).alias("roles"), F.transform("turns", lambda t: t["text"]).alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of a stage take all cores
+        tokenizer = encoder(tokenizer_path)
         for batch in batches:
-            tokenizer = encoder(tokenizer_path)
-            rendered = [render(list(zip(r, t)), trained) for r, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
-            ids, starts, ends, masks = [], [], [], []
-            for (formatted, spans), e in zip(rendered, tokenizer.encode_batch([f for f, _ in rendered], add_special_tokens=False)):
-                offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
-                ids.append(e.ids)
-                starts.append(offsets[:, 0])
-                ends.append(offsets[:, 1])
-                masks.append(loss_mask(offsets, spans))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([f for f, _ in rendered], pa.string()), pa.array(ids, pa.list_(pa.int32())), pa.array(starts, pa.list_(pa.int32())),
-                pa.array(ends, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))],
-                names=["conv_id", "formatted", "ids", "starts", "ends", "loss_mask"])
+            texts = batch.column(2)
+            upto = np.concatenate([[0], np.cumsum(pc.binary_length(texts.values).to_numpy(zero_copy_only=False), dtype=np.int64)])
+            for lo, hi in slices(np.diff(upto[texts.offsets.to_numpy()]).tolist(), SLICE_BYTES):
+                yield encoded(tokenizer, batch.slice(lo, hi - lo), trained)
 
     return whole.mapInArrow(run, "conv_id bigint, formatted string, ids array<int>, starts array<int>, ends array<int>, loss_mask array<boolean>")
 
@@ -117,15 +129,21 @@ def format_conversations(rows: DataFrame, tokenizer_path: str, trained: str = "a
 def digests(formatted: DataFrame) -> DataFrame:
     """What can be read back from the output of ``format_conversations``: turns from the text, the loss text from offsets and mask."""
 
+    def lists(column: pa.ListArray) -> list[np.ndarray]:
+        """The lists of a column without Python objects for their numbers."""
+        borders, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        return [values[a:b] for a, b in zip(borders[:-1], borders[1:])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, text, starts, ends, mask in zip(*(batch.column(k).to_pylist() for k in (0, 1, 3, 4, 5))):
+            for i, text, starts, ends, mask in zip(batch.column(0).to_pylist(), batch.column(1), *(lists(batch.column(k)) for k in (2, 3, 4))):
+                text = text.as_py()
                 turns = parse(text)
-                loss = "".join(masked_texts(text, np.array([starts, ends], np.int64).T.reshape(-1, 2), np.array(mask, bool)))
-                rows.append((i, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text), len(starts), sum(mask)))
+                loss = "".join(masked_texts(text, np.stack([starts, ends], axis=1), mask))
+                rows.append((i, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text), len(starts), int(mask.sum())))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
             names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_tokens", "loss_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=names)
 
-    return formatted.mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_tokens bigint, loss_tokens bigint")
+    return formatted.select("conv_id", "formatted", "starts", "ends", "loss_mask").mapInArrow(run, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_tokens bigint, loss_tokens bigint")
