@@ -2,19 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 _CACHES: dict = {}
 
 
+def slices(sizes: list[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours whose sizes add up to ``most`` or little more; one that is larger stands alone."""
+    start = total = 0
+    for k, size in enumerate(sizes):
+        if total and total + size > most:
+            yield start, k
+            start, total = k, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 class WordCache:
     """``get`` maps words through ``compute`` (a function of a list of new words), remembering results.
 
-    Emptied when it holds ``limit`` words, so that its memory is bounded; results do not depend on it.
+    Two generations: when the young one holds ``limit`` words it becomes the old one, and what was in the old one
+    and has not been asked for since is forgotten. So at most twice ``limit`` words are kept, frequent
+    words always; results do not depend on it.
     """
 
     def __init__(self, compute: Callable[[list], list], limit: int = 300_000):
-        self.compute, self.limit, self.known = compute, limit, {}
+        self.compute, self.limit, self.known, self.old = compute, limit, {}, {}
 
     @classmethod
     def of(cls, key, compute: Callable[[list], list], limit: int = 300_000) -> WordCache:
@@ -23,17 +38,38 @@ class WordCache:
             _CACHES[key] = cls(compute, limit)
         return _CACHES[key]
 
+    def learn(self, words: set) -> dict:
+        """A mapping that has all ``words``; very long ones are computed, not kept."""
+        known, old = self.known, self.old
+        missing = {w for w in words if w not in known}
+        if not missing:
+            return known
+        if len(known) + len(missing) > self.limit:
+            self.old, self.known = known, {}
+            known, old, missing = self.known, self.old, set(words)
+        if old:
+            again = {w for w in missing if w in old}
+            known.update((w, old[w]) for w in again)
+            missing -= again
+        new = [w for w in missing if len(w) <= 200]
+        known.update(zip(new, self.compute(new)))
+        if len(new) == len(missing):
+            return known
+        long = [w for w in missing if len(w) > 200]
+        return {**{w: known[w] for w in words if len(w) <= 200}, **dict(zip(long, self.compute(long)))}
+
     def get(self, words: Iterable) -> list:
         words = words if isinstance(words, list) else list(words)
         known = self.known
         try:
             return [known[w] for w in words]
         except KeyError:
-            pass
-        new = list({w for w in words if w not in known and len(w) <= 200})
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            new = list({w for w in words if len(w) <= 200})
-        known.update(zip(new, self.compute(new)))
-        # Very long words are computed, not kept.
-        return [known[w] if w in known else self.compute([w])[0] for w in words]
+            known = self.learn(set(words))
+        return [known[w] for w in words]
+
+    def many(self, lists: list[list]) -> list[list]:
+        """``get`` for several lists; words are looked up once, in the large mapping, for all of them."""
+        words = set(chain.from_iterable(lists))
+        known = self.learn(words)
+        near = {w: known[w] for w in words}
+        return [[near[w] for w in words] for words in lists]

@@ -19,19 +19,22 @@ the order of their texts; NULL ids come first. An empty table gives no files.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from array import array as pack
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialize, workspace
-from .caches import WordCache
+from .caches import WordCache, slices
 
 MAGIC = b"BITPLANE"
 BLOCK_IDS = 1 << 16
@@ -135,17 +138,51 @@ class TokenReader:
             yield None if doc == NO_ID else doc, np.concatenate(parts)
 
 
+# Words remembered per worker and generation, at some 200 bytes each.
+KEPT_WORDS = 1_000_000
+# Text encoded at a time.
+SLICE_BYTES = 4 << 20
+
+
+def encode_texts(texts: pa.Array, encoder: WordCache) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one after the other, and where those of each text end.
+
+    Words are cut at ASCII white space and made distinct in Arrow, so the cache sees every word of a slice once. A-Z are lowered as the tokenizer
+    does, but not in texts that may hold special tokens, which keep their case.
+    """
+    special = pc.match_substring(texts, "<|")
+    words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+    distinct = words.flatten().dictionary_encode()
+    ids = encoder.get(distinct.dictionary.cast(pa.binary()).to_pylist())
+    sizes = np.array([len(i) >> 2 for i in ids], np.int64)
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+    order = distinct.indices
+    upto = np.concatenate([[0], np.cumsum(sizes[order.to_numpy()])]) if len(order) else np.zeros(1, np.int64)
+    ends = words.offsets.to_numpy()
+    return lists.take(order).flatten().to_numpy(), upto[ends - ends[0]]
+
+
 def word_encoder(path: str) -> WordCache:
-    """UTF-8 words, cut at ASCII white space, to their ids as bytes. The tokenizer drops white space and never joins across it, so a
-    text's ids are those of its words, one after the other."""
+    """Words to their ids as bytes. The tokenizer drops white space, lowers letters and never joins across white space, so a
+    text's ids are those of its words, one after the other. It never joins a letter with a full stop or
+    a comma either, so a word and the same word before such an ending are encoded once."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    endings = {e: np.array(tokenizer.encode(e.decode(), add_special_tokens=False).ids, "<u4").tobytes() for e in (b".", b",")}
 
     def encode(words: list[bytes]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+        known = cache.known
+        bare = [w[:-1] if w[-1:] in endings and b"a" <= w[-2:-1] <= b"z" else w for w in words]
+        new = list({b for b in bare if b not in known})
+        found = dict(zip(new, [pack("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]))
+        if max(map(len, new), default=0) <= 200:
+            known.update(found)
+            found = known
+        return [(found[b] if b in found else known[b]) + (endings[w[-1:]] if len(b) < len(w) else b"") for w, b in zip(words, bare)]
 
-    return WordCache.of(("ids", path), encode)
+    cache = WordCache.of(("ids", path), encode, KEPT_WORDS)
+    return cache
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text", block_ids: int = BLOCK_IDS) -> tuple[DataFrame, str]:
@@ -153,19 +190,24 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, end_id: int, doc_id: str
     folder = workspace(docs.sparkSession, "token-files")
     body = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     ordered = body.repartitionByRange("id").sortWithinPartitions("id", "t")
-    end = np.array([end_id], np.uint32)
+    end = np.uint32(end_id)
 
     def write(batches):
         encoder = writer = first = None
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for lo, hi in slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
                 if writer is None:
-                    encoder, first = word_encoder(tokenizer_path), i
+                    # The tasks of a stage take all cores; the library's own threads would only be more of them.
+                    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+                    encoder, first = word_encoder(tokenizer_path), ids[0]
                     store, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
                     store.create_dir(base)
                     name = f"{uuid.uuid4().hex}.tok"
                     writer = TokenWriter(store.open_output_stream(f"{base}/{name}", compression=None), block_ids)
-                writer.add(i, np.concatenate([np.frombuffer(b"".join(encoder.get(t.encode().split())), "<u4"), end]))
+                found, ends = encode_texts(texts.slice(lo, hi - lo), encoder)
+                for i, start, stop in zip(ids[lo:hi], ends[:-1], ends[1:]):
+                    writer.add(i, np.append(found[start:stop], end))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pydict({"file": [name], "first_id": [first], "n_docs": [len(writer.docs)], "n_ids": [writer.n_ids]},
