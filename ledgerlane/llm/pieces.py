@@ -24,10 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .caches import WordCache
+from .caches import WordCache, slices
 from .columns import as_rows
 
 MARK = "▁"
+# Stretches remembered per worker and generation, at some 400 bytes each.
+KEPT_STRETCHES = 600_000
 _CODECS: dict = {}
 
 
@@ -68,7 +70,7 @@ class PieceCodec:
         self.known = re.compile(f"[{inside}]+|[^{inside}]")
         # A run of marks, then either one separator-like character or a word.
         self.stretch = re.compile(f"{MARK}+[^{MARK}\\n]*|[^{MARK}\\n]+|\\n+")
-        self.cache = WordCache(lambda stretches: [self._packed(s) for s in stretches])
+        self.cache = WordCache(lambda stretches: [self._packed(s) for s in stretches], KEPT_STRETCHES)
 
     def merged(self, text: str) -> list[int]:
         """The merge rules as they are defined: best score first, then leftmost. For single pieces,
@@ -137,12 +139,16 @@ class PieceCodec:
         ids = self._stretch(text)
         return np.array(ids, "<i4").tobytes(), ",".join(map(str, ids)).encode()
 
-    def stretches(self, text: str) -> list[tuple[bytes, bytes]]:
-        """Per stretch its ids, packed and as decimal text."""
-        return self.cache.get(self.stretch.findall(MARK + text.replace(" ", MARK))) if text else []
+    def cut(self, text: str) -> list[str]:
+        return self.stretch.findall(MARK + text.replace(" ", MARK)) if text else []
+
+    def stretches(self, texts: list[str]) -> Iterator[list[tuple[bytes, bytes]]]:
+        """For each text, per stretch its ids, packed and as decimal text."""
+        for lo, hi in slices([len(t) for t in texts]):
+            yield from self.cache.many([self.cut(t) for t in texts[lo:hi]])
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([p for p, _ in self.stretches(text)]), "<i4")
+        return np.frombuffer(b"".join([p for p, _ in self.cache.get(self.cut(text))]), "<i4")
 
     def decode(self, ids) -> str:
         """The text of ids, as the library decodes them: the first word mark goes, bytes that are no UTF-8 show as U+FFFD."""
@@ -202,7 +208,7 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in batches:
-            ids = [c.encode(t) for t in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(b"".join([p for p, _ in parts]), "<i4") for parts in c.stretches(batch.column(1).to_pylist())]
             offsets = np.cumsum([0, *map(len, ids)])
             flat = pa.array(np.concatenate([np.empty(0, "<i4"), *ids]), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -223,8 +229,7 @@ def digest_documents(docs: DataFrame, model_path: str, doc_id: str = "doc_id", t
         c = codec(model_path)
         for batch in batches:
             counts, id_sha, text_sha = [], [], []
-            for t in batch.column(1).to_pylist():
-                parts = c.stretches(t)
+            for parts in c.stretches(batch.column(1).to_pylist()):
                 ids = np.frombuffer(b"".join([p for p, _ in parts]), "<i4")
                 counts.append(len(ids))
                 id_sha.append(hashlib.sha256(b",".join([d for _, d in parts])).hexdigest())
