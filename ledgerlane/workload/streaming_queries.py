@@ -11,7 +11,6 @@ from .registry import query
 from .roles import POS, Roles, dbl, mean, pct
 
 BATCHES = 3
-BUCKETS = 8
 
 # Feed: every position is inserted (batch 1), every third gets one share more (batch 2), every
 # seventh is deleted (batch 3). A late copy of the first change arrives in batch 3 and must lose.
@@ -41,11 +40,12 @@ def write_feed(r: Roles) -> tuple[str, StructType]:
     return path, r.spark.read.parquet(path).schema
 
 
-def _stream(r: Roles) -> tuple[DataFrame, StructType]:
+def _stream(r: Roles) -> tuple[DataFrame, StructType, int]:
+    """The feed as a stream, its schema, and the number of batches it comes in."""
     path, schema = write_feed(r)
     files = r.spark.read.format("binaryFile").load(path).count()
     per_batch = max(1, -(-files // BATCHES))
-    return r.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path), schema
+    return r.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(path), schema, -(-files // per_batch)
 
 
 def _dims_at(r: Roles, stage: int) -> tuple[DataFrame, DataFrame]:
@@ -59,53 +59,63 @@ def _dims_at(r: Roles, stage: int) -> tuple[DataFrame, DataFrame]:
         r.prices.withColumn("closing_price", before("stock_code", "closing_price", price + 7).cast("decimal(12,2)")))
 
 
-def _refresh(r: Roles, trigger: dict | None = None) -> str:
-    """Customers and prices change after the first batch, and once more when all holdings are in."""
-    changes, schema = _stream(r)
+def _refresh(r: Roles, trigger: dict | None = None) -> cf.Summaries:
+    """Customers and prices change after the first batch, and once more when all holdings are in; then only the stream
+    that tells of their changes has something new."""
+    changes, schema, batches = _stream(r)
     base = workspace(r.spark, "refresh")
-    state = cf.PositionState(f"{base}/state", schema, BUCKETS)
-    tables = (state, f"{base}/summary", f"{base}/segments")
-    stages = iter([0])
-    job = cf.refresh_summary(changes, lambda: _dims_at(r, next(stages, 1)), *tables, f"{base}/checkpoint", trigger)
+    for _ in range(batches + 1):
+        r.spark.range(1).coalesce(1).write.mode("append").parquet(f"{base}/ticks")
+    ticks = r.spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{base}/ticks")
+    summaries = cf.Summaries(f"{base}/tables", schema)
+    stages = iter([0] + [1] * (batches - 1))
+    job = cf.refresh_summary(changes, lambda: _dims_at(r, next(stages, 2)), summaries, f"{base}/checkpoint", ticks, trigger)
     if trigger is None:
         job.awaitTermination()
     else:
         job.processAllAvailable()
         job.stop()
-    cf.refresh_buckets(r.spark, lambda: _dims_at(r, 2), *tables)
-    return base
+    return summaries
 
 
 @query("inc_customer_summary", f"""{_FEED}
 SELECT customer_id, customer_name, risk_tolerance, stock_count, {dbl('total_investment')} AS total_investment,
   {dbl('total_current_value')} AS total_current_value, overall_return_pct FROM with_return""")
 def inc_customer_summary(r: Roles) -> DataFrame:
-    return cf.read_summary(r.spark, f"{_refresh(r)}/summary")
+    return _refresh(r).read_customers(r.spark)
 
 
 @query("inc_segment_summary", f"""{_FEED}
 SELECT risk_tolerance, count(*) AS customer_count, {mean('sum(CAST(overall_return_pct AS DECIMAL(28,2)))', 'count(overall_return_pct)')} AS avg_return_pct,
   {dbl('sum(total_investment)')} AS total_investment, {dbl('sum(total_current_value)')} AS total_current_value FROM with_return GROUP BY risk_tolerance""")
 def inc_segment_summary(r: Roles) -> DataFrame:
-    return cf.read_segments(r.spark, f"{_refresh(r)}/segments")
+    return _refresh(r).read_segments(r.spark)
 
 
 @query("inc_refresh_lag", f"""{_FEED} SELECT count(*) AS customers, CAST(sum(stock_count) AS BIGINT) AS positions FROM with_return""")
 def inc_refresh_lag(r: Roles) -> DataFrame:
     """The same refresh under a processing-time trigger, the freshness target of the table."""
-    summary = cf.read_summary(r.spark, f"{_refresh(r, {'processingTime': '1 second'})}/summary")
+    summary = _refresh(r, {"processingTime": "1 second"}).read_customers(r.spark)
     return summary.agg(F.count(F.lit(1)).alias("customers"), F.sum("stock_count").alias("positions"))
 
 
 @query("inc_change_log", f"""{POS},
-feed AS (SELECT customer_id, stock_code, quantity, quantity + CASE WHEN stock_code % 3 = 0 THEN 1 ELSE 0 END AS q FROM pos)
-SELECT 'balance' AS what, CAST(sum(q) AS DOUBLE) AS quantity, count(*) AS positions FROM feed WHERE stock_code % 7 <> 0""")
+moves AS (
+  SELECT 'INSERT' AS action, FALSE AS is_update, customer_id, stock_code, quantity FROM pos
+  UNION ALL SELECT 'DELETE', TRUE, customer_id, stock_code, quantity FROM pos WHERE stock_code % 3 = 0
+  UNION ALL SELECT 'INSERT', TRUE, customer_id, stock_code, quantity + 1 FROM pos WHERE stock_code % 3 = 0
+  UNION ALL SELECT 'DELETE', FALSE, customer_id, stock_code, quantity + CASE WHEN stock_code % 3 = 0 THEN 1 ELSE 0 END FROM pos WHERE stock_code % 7 = 0)
+SELECT action, is_update, customer_id, stock_code, CAST(quantity AS DOUBLE) AS quantity, TRUE AS stamped FROM moves""")
 def inc_change_log(r: Roles) -> DataFrame:
-    """Inserts minus deletes of the log give the positions that are left."""
-    changes, schema = _stream(r)
+    """All rows of the log: every position comes, every third changes, every seventh goes; late copies leave no row."""
+    path, schema = write_feed(r)
     base = workspace(r.spark, "changelog")
-    state = cf.PositionState(f"{base}/state", schema, BUCKETS)
-    cf.change_log_sink(changes, state, f"{base}/log", f"{base}/checkpoint").awaitTermination()
-    sign = F.when(F.col("action") == "INSERT", 1).otherwise(-1)
-    return r.spark.read.parquet(f"{base}/log").agg(
-        F.lit("balance").alias("what"), F.sum(F.col("quantity") * sign).alias("quantity"), F.sum(sign).alias("positions"))
+    state = cf.PositionState(f"{base}/state", schema)
+    # One stage of the feed a batch, so that no step is netted away.
+    for stage in range(1, 4):
+        rows = r.spark.read.parquet(path).filter((F.col("seq") == stage) if stage < 3 else (F.col("seq") == 3) | ((F.col("seq") == 1) & (F.col("stock_code") % 21 == 0)))
+        rows.write.mode("append").parquet(f"{base}/feed/stage={stage}")
+        feed = r.spark.readStream.schema(schema).parquet(f"{base}/feed/stage=*")
+        cf.change_log_sink(feed, state, f"{base}/log", f"{base}/checkpoint").awaitTermination()
+    log = r.spark.read.parquet(f"{base}/log")
+    return log.select("action", "is_update", "customer_id", "stock_code", "quantity", F.col("change_timestamp").isNotNull().alias("stamped"))

@@ -7,8 +7,9 @@ from decimal import Decimal
 import brokerage as b
 from pyspark.sql import functions as F
 
-from ledgerlane.operators.changes import net_changes
+from ledgerlane.operators.layers import LayeredTable
 from ledgerlane.plans import daily, portfolio as pf, runlog, trips as tp
+from ledgerlane.sources import folders
 from ledgerlane.streaming import changefeed as cf
 from ledgerlane.streaming.loader import load_new_files
 
@@ -35,60 +36,136 @@ def write_feed(spark, path, rows, files=4):
     return spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+HOLDING = "customer_id string, stock_code string, quantity decimal(10,0), avg_purchase_price decimal(12,2)"
+
+
+def feed_schema(spark):
+    return spark.createDataFrame([], FEED).schema
+
+
+def check_summaries(spark, summaries, holdings, customers, prices):
+    want = pf.customer_summary(pf.positions(holdings, prices), customers)
+    got = summaries.read_customers(spark).select(*want.columns)
+    plain = lambda df: sorted(str([float(v) if isinstance(v, Decimal) else v for v in r]) for r in df.collect())
+    assert plain(got) == plain(want)
+    segments = summaries.read_segments(spark)
+    assert plain(segments) == plain(pf.segment_summary(want).select(*segments.columns))
+    return want
+
+
 def test_refreshed_summary_equals_batch_for_any_order(spark, tmp_path):
     rows = feed_rows()
     random.Random(5).shuffle(rows)
     changes = write_feed(spark, str(tmp_path / "feed"), rows)
-    state = cf.PositionState(str(tmp_path / "state"), spark.createDataFrame([], FEED).schema, 4)
+    summaries = cf.Summaries(str(tmp_path / "tables"), feed_schema(spark))
     dims = lambda: (b.customers(spark), b.prices(spark))
-    cf.refresh_summary(changes, dims, state, str(tmp_path / "summary"), str(tmp_path / "segments"), str(tmp_path / "ck")).awaitTermination()
-    want = pf.customer_summary(pf.positions(final_holdings(spark), b.prices(spark)), b.customers(spark))
-    got = cf.read_summary(spark, str(tmp_path / "summary")).select(*want.columns)
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    cf.refresh_summary(changes, dims, summaries, str(tmp_path / "ck")).awaitTermination()
+    want = check_summaries(spark, summaries, final_holdings(spark), *dims())
     assert want.filter("customer_id = 'C008'").count() == 0
-    segments = cf.read_segments(spark, str(tmp_path / "segments"))
-    batch = pf.segment_summary(want).select(*segments.columns)
-    assert [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(segments.collect())] == [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(batch.collect())]
 
 
-def test_changed_prices_and_customers_reach_every_bucket(spark, tmp_path):
-    state = cf.PositionState(str(tmp_path / "state"), spark.createDataFrame([], FEED).schema, 4)
-    paths = (str(tmp_path / "summary"), str(tmp_path / "segments"))
+def test_changed_prices_and_customers_wake_the_stream(spark, tmp_path):
+    summaries = cf.Summaries(str(tmp_path / "tables"), feed_schema(spark))
     rows, dims = feed_rows(), [b.customers(spark), b.prices(spark)]
-
-    def check(holdings):
-        want = pf.customer_summary(pf.positions(holdings, dims[1]), dims[0])
-        got = cf.read_summary(spark, paths[0]).select(*want.columns)
-        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
-        segments = cf.read_segments(spark, paths[1])
-        batch = pf.segment_summary(want).select(*segments.columns)
-        assert [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(segments.collect())] == [[float(v) if i else v for i, v in enumerate(r)] for r in sorted(batch.collect())]
-
-    def load(part):
-        spark.createDataFrame(part, FEED).write.mode("append").parquet(str(tmp_path / "feed"))
+    ticks = [0]
+
+    def run(part):
+        """Either holdings come, or only word that a dimension changed."""
+        if part:
+            spark.createDataFrame(part, FEED).write.mode("append").parquet(str(tmp_path / "feed"))
+        else:
+            ticks[0] += 1
+            spark.range(1).write.mode("append").parquet(str(tmp_path / "ticks"))
         feed = spark.readStream.schema(FEED).parquet(str(tmp_path / "feed"))
-        cf.refresh_summary(feed, lambda: tuple(dims), state, *paths, str(tmp_path / "ck")).awaitTermination()
+        words = spark.readStream.schema("id long").parquet(str(tmp_path / "ticks"))
+        cf.refresh_summary(feed, lambda: tuple(dims), summaries, str(tmp_path / "ck"), words).awaitTermination()
 
-    load(rows[:30])
-    first = spark.createDataFrame([r[:4] for r in rows[:30]], "customer_id string, stock_code string, quantity decimal(10,0), avg_purchase_price decimal(12,2)")
-    check(first)
+    (tmp_path / "ticks").mkdir()
+    run(rows[:30])
+    check_summaries(spark, summaries, spark.createDataFrame([r[:4] for r in rows[:30]], HOLDING), *dims)
     # Prices move together with a batch that touches two or three customers only.
     dims[1] = dims[1].withColumn("closing_price", (F.col("closing_price") * 2).cast("decimal(12,2)"))
-    load(rows[30:])
-    check(final_holdings(spark))
-    # A customer, then a price, move without any holdings.
+    run(rows[30:])
+    check_summaries(spark, summaries, final_holdings(spark), *dims)
+    # A customer, then a price, then a customer that leaves and one that comes, all without holdings.
     dims[0] = dims[0].withColumn("risk_tolerance", F.when(F.col("customer_id") == "C002", "other").otherwise(F.col("risk_tolerance")))
-    assert len(cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths)) == 1
-    check(final_holdings(spark))
+    run([])
+    check_summaries(spark, summaries, final_holdings(spark), *dims)
     stock = rows[0][1]
     dims[1] = dims[1].filter(F.col("stock_code") != stock)
-    assert cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths)
-    check(final_holdings(spark))
-    assert cf.refresh_buckets(spark, lambda: tuple(dims), state, *paths) == []
+    run([])
+    check_summaries(spark, summaries, final_holdings(spark), *dims)
+    dims[1] = b.prices(spark)
+    dims[0] = b.customers(spark).filter("customer_id <> 'C003'")
+    run([])
+    check_summaries(spark, summaries, final_holdings(spark), *dims)
+    # Nothing changed: no row is written.
+    written = summaries.totals
+    run([])
+    base, layers = written._stored(spark, None)
+    assert written._read(spark, layers[-1]).count() == 0
+    check_summaries(spark, summaries, final_holdings(spark), *dims)
+
+
+def test_batches_write_what_changed(spark, tmp_path):
+    """Small batches on a larger state: rows written follow the batch, repeated and late ones change nothing."""
+    summaries = cf.Summaries(str(tmp_path / "tables"), feed_schema(spark))
+    customers = spark.createDataFrame([(f"C{k}", f"n{k}", f"r{k % 3}") for k in range(300)], "customer_id string, customer_name string, risk_tolerance string")
+    price_schema = "stock_code string, closing_price decimal(12,2), stock_name string, sector string, price_date date"
+    prices = lambda n: spark.createDataFrame([(f"S{k}", Decimal(10 + k + (n if k == n % 40 else 0)), None, None, None) for k in range(40)], price_schema)
+    held = {(f"C{k}", f"S{(7 * k + j) % 40}"): (Decimal(k + j + 1), Decimal(5 + j), 0, False) for k in range(300) for j in range(10)}
+    summaries.refresh(spark.createDataFrame([(*k, *v) for k, v in held.items()], FEED), 0, customers, prices(0))
+    random.seed(2)
+    for n in range(1, 5):
+        keys = random.sample(sorted(held), 3) + [(f"C{random.randrange(300)}", "S0")]
+        batch = [(*k, Decimal(n), Decimal(7), n, random.random() < 0.3) for k in dict.fromkeys(keys)]
+        late = [(*k, *held[k][:2], held[k][2] - 1, True) for k in random.sample(sorted(held), 2) if k not in keys]
+        for k in batch:
+            held[k[:2]] = k[2:]
+        frame = spark.createDataFrame(batch + late, FEED)
+        for _ in range(1 + (n == 3)):  # one batch comes twice
+            summaries.refresh(frame, n, customers, prices(n))
+        layer = lambda t: t._read(spark, next(a for a in t._stored(spark, None)[1] if a.last == n)).count()
+        moved = {k[0] for k in batch} | {c for (c, s), v in held.items() if s in (f"S{n % 40}", f"S{(n - 1) % 40}")}
+        assert layer(summaries.totals) <= len(moved) and layer(summaries.positions.table) == len(batch)
+        assert layer(summaries.prices.table) == 2 - (n == 1) and layer(summaries.prices.digests) <= 2
+    live = spark.createDataFrame([(*k, *v[:2]) for k, v in held.items() if not v[3]], HOLDING)
+    check_summaries(spark, summaries, live, customers, prices(n))
+
+
+def test_twenty_batches_leave_the_folder_flat(spark, tmp_path):
+    state, sizes = cf.PositionState(str(tmp_path / "t"), feed_schema(spark)), []
+    for n in range(21):
+        rows = [(f"C{k}", f"S{j}", Decimal(n), Decimal(1), n, False) for k in range(200 if n == 0 else n % 7 + 1) for j in range(10)]
+        state.take(spark.createDataFrame(rows, FEED), n)
+        sizes.append(folders.size(spark, f"{tmp_path}/t"))
+    assert max(sizes[10:]) < 1.5 * max(sizes[:10]) and len(folders.names(spark, f"{tmp_path}/t")) < 12
+    assert state.live(spark).count() == 2000
+
+
+def test_layers(spark, tmp_path):
+    """Merges, buckets that follow the size, an index, half-written folders and NULL keys."""
+    schema = spark.createDataFrame([], "k string, g int, v int").schema
+    table = LayeredTable(str(tmp_path / "t"), schema, ["k"], "k", "g", bucket_bytes=2000)
+    assert table.rows(spark).count() == 0
+    want = {}
+    for n in range(14):
+        rows = [(f"k{j}" if j else None, j % 7, n) for j in range(0, 400 if n == 0 else 40, 1 + n % 5)]
+        want.update({k: (g, v) for k, g, v in rows})
+        table.merge(spark, n)
+        table.write(spark.createDataFrame(rows, schema), n)
+        (tmp_path / "t" / "layer-99-99-0").mkdir(exist_ok=True)  # without the mark of a finished job
+        assert {r.k: (r.g, r.v) for r in table.rows(spark).collect()} == want
+    base, layers = table._stored(spark, None)
+    assert base.buckets > 1 and len(layers) < 8
+    among = spark.createDataFrame([(3,)], "g int")
+    assert {r.k for r in table.rows(spark, among=among).collect()} == {k for k, (g, _) in want.items() if g == 3}
+    assert {r.k: r.v for r in table.rows(spark, among=spark.createDataFrame([("k5",), ("k399",)], "k string")).collect()} == {k: want[k][1] for k in ("k5", "k399")}
+    assert table.rows(spark, 1).count() in (0, 400)  # what is below batch 1, unless merged already
 
 
 def test_change_log_and_repeated_batch(spark, tmp_path):
-    state = cf.PositionState(str(tmp_path / "state"), spark.createDataFrame([], FEED).schema, 4)
+    state = cf.PositionState(str(tmp_path / "state"), feed_schema(spark))
     rows = feed_rows()
     for part in (rows[:30], rows[30:]):
         spark.createDataFrame(part, FEED).write.mode("append").parquet(str(tmp_path / "feed"))
@@ -97,12 +174,10 @@ def test_change_log_and_repeated_batch(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     kinds = {(r["batch_id"], r["action"], r["is_update"]): r["count"] for r in log.groupBy("batch_id", "action", "is_update").count().collect()}
     assert kinds == {(0, "INSERT", False): 30, (1, "DELETE", True): 6, (1, "INSERT", True): 6, (1, "DELETE", False): 3}
-    # The second batch once more: the image kept from before it gives the same log.
-    after, touched = state.merge(spark.createDataFrame(rows[30:], FEED), str(tmp_path / "log_before" / "batch_id=1"))
-    before = spark.read.schema(after.schema).parquet(str(tmp_path / "log_before" / "batch_id=1"))
-    again = net_changes(*(x.filter(~F.col("deleted")).drop("seq", "deleted", "bucket") for x in (before, after)), cf.POSITION_KEY)
-    assert again.count() == 15 and touched
-    assert state.live(spark).count() == 27
+    assert log.filter("change_timestamp IS NULL").count() == 0
+    # The second batch once more gives the same changes, as it reads what is below it only.
+    again = state.take(spark.createDataFrame(rows[30:], FEED), 1)
+    assert again.count() == 9 and state.live(spark).count() == 27
 
 
 def test_files_are_loaded_once(spark, tmp_path):
