@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialize
+from ..sources import folders
 from .latest import latest_per_key
 
 OLD_SIDE, NEW_SIDE = "__old", "__new"
@@ -30,13 +31,23 @@ def paired(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return both.select(*[F.coalesce(f"__old_{k}", f"__new_{k}").alias(k) for k in keys], OLD_SIDE, NEW_SIDE)
 
 
+def once_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` as it is; the job that reads it fails, naming the key, when a key has several rows."""
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys])
+    several = F.raise_error(F.concat(F.lit("several source rows for key "), shown)).cast("boolean")
+    counted = df.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return counted.filter(F.when(F.col("__rows") > 1, several).otherwise(F.lit(True))).drop("__rows")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], stamp: tuple[str, Column] | None = None) -> DataFrame:
     """Rows of ``new`` replace rows of ``old`` with the same key; all others stay.
 
     There is no delete: an old key missing from ``new`` is kept. ``stamp`` is a column set on
     every row that was inserted or updated. Columns only ``old`` has keep their value on update.
-    The types are those of ``old``, the table; a new value that does not fit them is an error.
+    The types are those of ``old``, the table; a new value that does not fit them is an error, and so are several rows of
+    ``new`` with one key.
     """
+    new = once_per_key(new, keys)
     types = {f.name: f.dataType for f in old.schema.fields}
     stamp_name = stamp[0] if stamp else None
     present = F.col(NEW_SIDE).isNotNull()
@@ -152,6 +163,26 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage:
     )
 
 
+def delete_stored(spark: SparkSession, path: str, predicate: Column, partition_by: list[str]) -> None:
+    """DELETE ... WHERE on a partitioned table: only partitions with such rows are rewritten, and those left empty are removed.
+
+    A run that failed in between finds what is left to delete again.
+    """
+    table = spark.read.parquet(path)
+    hit = F.coalesce(predicate, F.lit(False))
+    touched = materialize(table.filter(hit).select(*partition_by).distinct(), "touched")
+    same = [table[c].eqNullSafe(touched[c]) for c in partition_by]
+    kept = materialize(table.filter(~hit).join(touched, same, "left_semi"), "kept")
+    if not kept.isEmpty():
+        replace_partitions(kept, path, partition_by, stage=False)
+    left = kept.select(*partition_by).distinct()
+    empty = touched.join(left, [touched[c].eqNullSafe(left[c]) for c in partition_by], "left_anti")
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for row in empty.select(*[F.col(c).cast("string") for c in partition_by]).toLocalIterator():  # names of partitions
+        folders.remove(spark, "/".join([path.rstrip("/"), *[name(c, row[c]) for c in partition_by]]))
+    spark.catalog.refreshByPath(path)
+
+
 def publish_new(df: DataFrame, path: str) -> DataFrame:
     """Create a table from a query. Refuses to write over an existing path."""
     df.write.mode("errorifexists").parquet(path)

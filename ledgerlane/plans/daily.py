@@ -1,21 +1,27 @@
 """The daily chain: load prices, value positions, compare with targets, issue alerts, report.
 
-Each step reads what its predecessor wrote and appends one entry to the run log. Tables live
+Each step reads what its predecessor wrote and writes one entry to the run log. Tables live
 below one root folder; the keyed ones are partitioned by their date, and a run rewrites only the
-partition of its own day.
+partition of its own day. Price files are loaded once each, as their ledger knows them; the latest price of every stock is kept beside the
+history, so a day reads its own files only. A run is known by its date and time: one that is repeated
+replaces its rows and its log entries.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.layers import LayeredTable
 from ..operators.tables import replace_partitions, table_exists, upsert
-from ..sources.delimited import CsvFormat, fields, load_rows, tag_rows
-from ..sources.sinks import append
+from ..session import materialize
+from ..sources.delimited import CsvFormat, fields
+from ..sources.ledger import NEW, LoadLedger, load_new_files, loaded_rows
+from ..sources.sinks import with_defaults
 from ..streaming.loader import load_log
 from . import alerts as al, portfolio as pf
 from .runlog import run_step
@@ -71,6 +77,25 @@ def upsert_day(path: str, rows: DataFrame, keys: list[str], date_column: str, as
     return _stored(spark, path, stamped).filter(F.col(date_column) == as_of)
 
 
+def latest_prices(tables: DailyTables) -> LayeredTable:
+    """The newest price row of every stock."""
+    schema = StructType.fromDDL(", ".join(f"{f.name} {f.type}" for f in PRICE_FIELDS)).add("load_timestamp", "timestamp")
+    return LayeredTable(tables.path("latest_prices"), schema, ["stock_code"], "stock_code")
+
+
+def load_prices(spark: SparkSession, tables: DailyTables, files: str | list[str], load_id: str, now: dt.datetime, fmt: CsvFormat = CsvFormat()) -> DataFrame:
+    """Load price files that were not loaded before, by their dates, and bring the latest prices up to them; the report of the files."""
+    ledger, table, latest = LoadLedger(tables.path("load_ledger")), tables.path("market_prices"), latest_prices(tables)
+    report = materialize(load_new_files(spark, files, PRICE_FIELDS, table, ledger, load_id, now, fmt, partition_by=["price_date"], extra={"load_timestamp": F.lit(now).cast("timestamp")}), "load-report")
+    if not report.filter(F.col("state") == NEW).isEmpty():
+        number, names = ledger.number(spark, load_id), latest.schema.fieldNames()
+        latest.merge(spark, number)
+        rows = materialize(pf.latest_prices(loaded_rows(spark, table, ledger, load_id).select(*names)), "day-prices")
+        before = latest.rows(spark, number, rows.select("stock_code"))
+        latest.write(pf.latest_prices(before.unionByName(rows)), number)
+    return report
+
+
 def run_day(
     spark: SparkSession,
     tables: DailyTables,
@@ -84,17 +109,17 @@ def run_day(
 ) -> DataFrame:
     """Run all five steps for one day and return the mail report rows."""
     day, clock = F.lit(as_of), F.lit(now).cast("timestamp")
-    log_path = tables.path("run_log")
+    run_id = f"{as_of:%Y%m%d}-{now:%Y%m%dT%H%M%S}"
+    steps = count(1)
 
     def log(rows: DataFrame) -> None:
-        append(rows, log_path, LOG_SCHEMA, {"check_timestamp": clock})
+        entry = with_defaults(rows, LOG_SCHEMA, {"check_timestamp": clock})
+        entry.write.mode("overwrite").parquet(f"{tables.path('run_log')}/run={run_id}/step={next(steps)}")
 
-    prices_path = tables.path("market_prices")
     if price_files is not None:
-        tagged = tag_rows(spark, price_files, PRICE_FIELDS, price_format)
-        load_rows(tagged).withColumn("load_timestamp", clock).write.mode("append").parquet(prices_path)
-        log(load_log(tagged, "MARKET_PRICES"))
-    prices = pf.latest_prices(spark.read.parquet(prices_path))
+        report = load_prices(spark, tables, price_files, run_id, now, price_format)
+        log(load_log(report.filter(F.col("state") == NEW).withColumnRenamed("file", "file_name"), "MARKET_PRICES"))
+    prices = latest_prices(tables).rows(spark)
 
     valued = pf.snapshot(pf.positions(holdings, prices), day)
     snapshots = upsert_day(tables.path("portfolio_snapshot"), valued, pf.SNAPSHOT_KEY, "snapshot_date", day, clock)

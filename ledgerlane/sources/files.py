@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .blocks import JsonElements, cut_files
 
 
-def list_files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """path, length, modificationTime of all files below ``path``; contents are not read."""
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

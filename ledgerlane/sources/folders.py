@@ -1,4 +1,4 @@
-"""Folders through Spark's own file systems, from the driver: names, sizes, removal. No file content passes."""
+"""Folders through Spark's own file systems, from the driver: names, sizes, removal, and joining finished files as bytes."""
 
 from __future__ import annotations
 
@@ -39,3 +39,21 @@ def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme of the file system that Spark uses for it."""
     store, p = _at(spark, path)
     return store.makeQualified(p).toString()
+
+
+def concatenate(spark: SparkSession, files: list[str], target: str) -> None:
+    """One file of the bytes of all ``files``, streamed through a small buffer; it appears under its name when it is whole."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    store, whole = _at(spark, f"{target}.part")
+    out = store.create(whole, True)
+    try:
+        for name in files:
+            source, p = _at(spark, name)
+            stream = source.open(p)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+            finally:
+                stream.close()
+    finally:
+        out.close()
+    store.rename(whole, _at(spark, target)[1])

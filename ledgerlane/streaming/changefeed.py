@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.numeric import mean_of, percent
-from ..operators.changes import net_changes
+from ..operators.changes import net_changes, row_hash
 from ..operators.latest import latest_per_key
 from ..operators.layers import LayeredTable
 from ..operators.tables import NEW_SIDE, OLD_SIDE, paired
@@ -101,7 +101,7 @@ class Dimension:
         # The number of parts follows the size; while it is within a factor of two the old one stays.
         parts = parts if parts and wanted // 2 <= parts <= 2 * wanted else wanted
         part = lambda: F.pmod(F.xxhash64(self.key), F.lit(parts)).cast("int")
-        row = F.xxhash64(self.key, *names)
+        row = row_hash([self.key, *names])
         found = now.groupBy(part().alias("part")).agg(F.count("*"), F.sum(row.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(row, 32))).collect()
         fresh = {(r[0], parts): tuple(r[1:]) for r in found}
         differing = {k: fresh.get(k, (0, 0, 0)) for k in known.keys() | fresh.keys() if known.get(k) != fresh.get(k)}

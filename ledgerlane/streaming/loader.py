@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.delimited import CsvFormat, Field, LOADED, tag_columns, text_schema, width_of, good_rows, load_report
+from ..sources.delimited import CsvFormat, Field, LOADED, good_rows, load_report, tag_rows
 
 
 def start(query, trigger: dict | None) -> StreamingQuery:
@@ -29,33 +29,26 @@ def load_new_files(
 ) -> StreamingQuery:
     """Append the good rows of every new file and log one row per file.
 
-    The checkpoint remembers which files were taken. Each micro-batch writes folders of its own
+    The stream gives the names of new files only; a micro-batch, of at most ``max_files`` files, then loads them as the batch loader does. The
+    checkpoint remembers which files were taken. Each micro-batch writes folders of its own
     number, so a batch that is repeated after a failure replaces itself.
     """
-    width = width_of(spec)
-    lines = (
-        spark.readStream.options(**fmt.options())
-        .option("header", fmt.skip_header)
-        .option("maxFilesPerTrigger", max_files)
-        .schema(text_schema(width))
-        .csv(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("raw"))
-    )
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", max_files).load(path).select("path")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        placed = batch.withColumn("place", F.struct("block", F.monotonically_increasing_id().alias("row")))
-        tagged = tag_columns(placed, spec, ["file", "place"])
+        names = [r.path for r in batch.distinct().collect()]
+        if not names:
+            return
+        tagged = tag_rows(spark, names, spec, fmt)
         good_rows(tagged).write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-        load_log(tagged, table).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+        load_log(load_report(tagged), table).write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
 
-    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return start(writer, trigger)
 
 
-def load_log(tagged: DataFrame, table: str) -> DataFrame:
-    """Log rows of a daily load: files that loaded without any error."""
-    report = load_report(tagged)
+def load_log(report: DataFrame, table: str) -> DataFrame:
+    """Log rows of a daily load from its report: files that loaded without any error."""
     return report.filter(F.col("status") == LOADED).select(
         F.lit(table).alias("table_name"),
         F.lit("DAILY_LOAD").alias("check_type"),

@@ -7,10 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import changes as ch, tables as tb
+from ..operators.versions import VersionedTable
 from ..plans import alerts as al, daily, portfolio as pf
 from ..session import materialize, workspace
+from ..sources import lines as ln
 from ..sources.sinks import append, unload_csv, with_defaults
-from .registry import SQL, query
+from .registry import query
 from .roles import ALERTS, ALLOC, AS_OF, NOW, POS, Roles, dbl, pct
 
 EARLIER = "2002-01-01 00:00:00"
@@ -93,6 +95,16 @@ def delete_where(r: Roles) -> DataFrame:
 _ALERT = f"customer_id, sector, {dbl('deviation')} AS deviation"
 
 
+@query("delete_stored", """
+SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'F' AND NOT (o_orderstatus = 'O' AND o_orderkey % 2 = 0)""")
+def delete_stored(r: Roles) -> DataFrame:
+    """Rows deleted from a stored table: one partition loses all its rows, one some, the others are not touched."""
+    path = workspace(r.spark, "deleted")
+    r.table("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    tb.delete_stored(r.spark, path, (F.col("o_orderstatus") == "F") | ((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 2 == 0)), ["o_orderstatus"])
+    return r.spark.read.parquet(path)
+
+
 @query("insert_if_absent", f"""{ALERTS}, known AS (SELECT * FROM alert_rows)
 SELECT {_ALERT}, alert_status FROM known WHERE customer_id % 3 = 0 UNION ALL SELECT {_ALERT}, 'OPEN' FROM known WHERE customer_id % 3 <> 0""")
 def insert_if_absent(r: Roles) -> DataFrame:
@@ -133,16 +145,26 @@ def _order_log(r: Roles) -> DataFrame:
     )
 
 
+def _order_versions(r: Roles) -> VersionedTable:
+    log = materialize(_order_log(r), "order-log")
+    table = VersionedTable(workspace(r.spark, "versions"), log.drop("version", "op").schema, ["o_orderkey"])
+    for version in range(1, 5):
+        table.apply(log.filter(F.col("version") == version), version)
+    return table
+
+
 @query("as_of_version", f"WITH {_LOG} SELECT o_orderkey, o_orderstatus, o_totalprice FROM state")
 def as_of_version(r: Roles) -> DataFrame:
-    return tb.state_before(_order_log(r), ["o_orderkey"], 4)
+    """The table before version 4, from the validity of its rows."""
+    return _order_versions(r).as_of(r.spark, 4)
 
 
 @query("rollback_to_version", f"WITH {_LOG} SELECT o_orderkey, o_orderstatus, o_totalprice FROM state")
 def rollback_to_version(r: Roles) -> DataFrame:
-    log = _order_log(r)
-    undo = tb.rollback(log, ["o_orderkey"], 4, 5)
-    return tb.state_before(log.unionByName(undo), ["o_orderkey"], 6)
+    """Version 5 takes the table back to before version 4."""
+    table = _order_versions(r)
+    table.rollback(r.spark, 4, 5)
+    return table.current(r.spark)
 
 
 # Two states of the orders: rows dropped, added and changed by key arithmetic.
@@ -167,8 +189,9 @@ def _states(r: Roles) -> tuple[DataFrame, DataFrame]:
 
 @query("cdc_net_changes", f"WITH {_DIFF} SELECT *, sha256(CAST(o_orderkey AS VARCHAR)) AS row_id FROM net")
 def cdc_net_changes(r: Roles) -> DataFrame:
+    """Parts of the keys whose digests agree are not joined."""
     old, new = _states(r)
-    return ch.net_changes(old, new, ["o_orderkey"])
+    return ch.net_changes_by_digest(old, new, ["o_orderkey"])
 
 
 @query("cdc_apply", f"WITH {_STATES} SELECT * FROM new_state")
@@ -208,14 +231,15 @@ def cdc_consume(r: Roles) -> DataFrame:
 SELECT o_orderkey, o_orderstatus, 'OPEN' AS alert_status, '{NOW}' AS load_timestamp FROM orders
 UNION ALL SELECT o_orderkey, o_orderstatus, 'CLOSED', '{NOW}' FROM orders WHERE o_orderkey % 2 = 0""")
 def sink_append(r: Roles) -> DataFrame:
-    """Two appends into one table; missing columns take their defaults."""
+    """Two loads into one table, the second one twice, which replaces itself; missing columns take their defaults."""
     orders = r.table("orders").select("o_orderkey", "o_orderstatus")
     schema = with_defaults(orders, orders.schema, {}).withColumns({"alert_status": F.lit(""), "load_timestamp": r.now}).schema
     defaults = {"alert_status": F.lit("OPEN"), "load_timestamp": r.now}
     path = workspace(r.spark, "append")
-    append(orders, path, schema, defaults)
-    append(orders.filter(F.col("o_orderkey") % 2 == 0).withColumn("alert_status", F.lit("CLOSED")), path, schema, defaults)
-    return r.spark.read.parquet(path)
+    append(orders, path, schema, defaults, load_id="first")
+    for _ in range(2):
+        append(orders.filter(F.col("o_orderkey") % 2 == 0).withColumn("alert_status", F.lit("CLOSED")), path, schema, defaults, load_id="second")
+    return r.spark.read.parquet(path).drop("load_id")
 
 
 @query("sink_ctas", "SELECT o_custkey, count(*) AS orders FROM orders GROUP BY o_custkey")
@@ -225,34 +249,47 @@ def sink_ctas(r: Roles) -> DataFrame:
 
 
 @query("sink_csv_unload", """
-SELECT o_orderstatus, o_orderpriority, CAST(count(*) AS VARCHAR) AS n FROM orders GROUP BY o_orderstatus, o_orderpriority""")
+SELECT o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (ORDER BY o_orderkey) AS line_no FROM orders""")
 def sink_csv_unload(r: Roles) -> DataFrame:
-    """A small report exported to one file and read back as text."""
-    report = r.table("orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    """The orders in the order of their keys in one file, read back with their line numbers."""
     path = workspace(r.spark, "unload")
-    unload_csv(report, path, single=True)
-    return r.spark.read.schema("o_orderstatus string, o_orderpriority string, n string").csv(path)
+    unload_csv(r.table("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority").orderBy("o_orderkey"), path, single=True)
+    lines = ln.raw_lines(r.spark, path)
+    numbered = ln.place_lines(lines, ln.block_index(lines))
+    parts = F.split("line", ",")
+    return numbered.select(parts[0].cast("bigint").alias("o_orderkey"), parts[1].alias("o_orderstatus"), parts[2].alias("o_orderpriority"), "line_no")
 
 
 # ---- the daily chain -----------------------------------------------------------------------
 
 
-@query("daily_run", f"""{ALERTS}
+_MAIL = f"""{ALERTS}
 SELECT sales_rep, customer_id, customer_name, risk_tolerance, sector, {dbl('current_ratio')} AS current_ratio, {dbl('target_ratio')} AS target_ratio,
-  {dbl('deviation')} AS deviation, recommended_action FROM alert_rows""")
-def daily_run(r: Roles) -> DataFrame:
-    """Load, value, compare, alert and report, with prices from files; returns the mail rows."""
+  {dbl('deviation')} AS deviation, recommended_action FROM alert_rows"""
+
+
+def _run_days(r: Roles, hours: int) -> DataFrame:
+    """The chain with prices from files, run once an hour over the same files; the mail rows of the last run."""
     files = workspace(r.spark, "price-files")
     nothing = F.lit(0)
     prices = r.prices.select(
         "stock_code", "stock_name", "sector", "price_date", "closing_price", nothing.alias("volume"), nothing.alias("high"), nothing.alias("low"))
-    prices.write.option("header", True).csv(files)
+    prices.write.option("header", True).option("escape", '"').csv(files)
     tables = daily.DailyTables(workspace(r.spark, "daily"))
-    as_of = dt.date.fromisoformat(AS_OF)
+    as_of, now = dt.date.fromisoformat(AS_OF), dt.datetime.fromisoformat(NOW)
     holdings = r.holdings.withColumn("stock_code", F.col("stock_code").cast("string"))
-    report = daily.run_day(r.spark, tables, files, holdings, r.customers, r.targets, as_of, dt.datetime.fromisoformat(NOW))
+    for hour in range(hours):
+        report = daily.run_day(r.spark, tables, files, holdings, r.customers, r.targets, as_of, now + dt.timedelta(hours=hour))
     return report
 
 
-# The same chain under the name of the survey.
-query("daily_pipeline", SQL["daily_run"])(daily_run)
+@query("daily_run", _MAIL)
+def daily_run(r: Roles) -> DataFrame:
+    """Load, value, compare, alert and report."""
+    return _run_days(r, 1)
+
+
+@query("daily_pipeline", _MAIL)
+def daily_pipeline(r: Roles) -> DataFrame:
+    """The same once more an hour later: the files are known and not loaded again, the alerts are closed and issued anew."""
+    return _run_days(r, 2)

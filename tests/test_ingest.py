@@ -175,3 +175,23 @@ def test_single_file_export_keeps_a_parallel_stage_and_the_order(spark, tmp_path
     parts = list((tmp_path / "big").glob("part-*"))
     lines = parts[0].read_text().split()
     assert len(parts) == 1 and lines == [str(k) for k in range(1_099_999, -1, -1)]
+
+
+def test_single_file_with_header_and_gzip(spark, tmp_path):
+    rows = spark.range(0, 1000, numPartitions=5).select("id", F.concat(F.lit('a "b", '), "id").alias("t")).orderBy(F.col("id").desc())
+    unload_csv(rows, str(tmp_path / "z"), single=True, header=True, compression="gzip")
+    (name,) = (tmp_path / "z").glob("part-*")
+    with gzip.open(name, "rt") as source:
+        lines = source.read().splitlines()
+    assert lines[0] == "id,t" and [int(x.split(",")[0]) for x in lines[1:]] == list(range(999, -1, -1))
+    with pytest.raises(ValueError):
+        unload_csv(rows, str(tmp_path / "y"), single=True, compression="zstd")
+    unload_csv(rows.limit(0), str(tmp_path / "z"), single=True)
+    assert [p.read_text() for p in (tmp_path / "z").glob("part-*")] == [""]
+
+
+def test_a_load_that_is_repeated_replaces_itself(spark, tmp_path):
+    rows, path = spark.createDataFrame([(1,), (2,)], "a int"), str(tmp_path / "t")
+    for load in ("x", "y", "x"):
+        append(rows, path, rows.schema, load_id=load)
+    assert spark.read.parquet(path).count() == 4

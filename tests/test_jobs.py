@@ -1,7 +1,9 @@
 """Streams against the batch answer, and the daily chain run twice."""
 
 import datetime as dt
+import os
 import random
+import shutil
 from decimal import Decimal
 
 import brokerage as b
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlane.operators.layers import LayeredTable
 from ledgerlane.plans import daily, portfolio as pf, runlog, trips as tp
 from ledgerlane.sources import folders
+from ledgerlane.sources.ledger import CHANGED, NEW, SAME, LoadLedger, loaded_rows
 from ledgerlane.streaming import changefeed as cf
 from ledgerlane.streaming.loader import load_new_files
 
@@ -224,6 +227,42 @@ def test_daily_chain_twice(spark, tmp_path):
     assert per_day == {"2026-03-11": 30, "2026-03-12": 30}
 
 
+def test_files_are_known_by_the_ledger(spark, tmp_path):
+    """The same file twice, under a new time, with other content, and a run that is repeated or broke off."""
+    tables, name = daily.DailyTables(str(tmp_path / "db")), b.write(tmp_path / "p.csv", b.price_file_lines())
+    ledger = LoadLedger(tables.path("load_ledger"))
+
+    def load(run, files=name):
+        found = {r.file.rsplit("/", 1)[1]: r.state for r in daily.load_prices(spark, tables, files, run, dt.datetime(2026, 3, 11)).collect()}
+        return found, loaded_rows(spark, tables.path("market_prices"), ledger).count()
+
+    assert load("r1") == ({"p.csv": NEW}, 30) and load("r1") == ({"p.csv": NEW}, 30)
+    assert load("r2") == ({"p.csv": SAME}, 30)
+    os.utime(tmp_path / "p.csv", (1, 1))
+    assert load("r3") == ({"p.csv": SAME}, 30)
+    later = [x.replace("2026-03-11", "2026-03-12").replace(",1920,", ",2000,") for x in b.price_file_lines()]
+    b.write(tmp_path / "p.csv", later)
+    assert load("r4") == ({"p.csv": CHANGED}, 30)
+    b.write(tmp_path / "q.csv", later[:6])
+    # A load that broke off before its entries left rows that nobody reads.
+    shutil.copytree(tmp_path / "db" / "market_prices" / "load_id=r1", tmp_path / "db" / "market_prices" / "load_id=broken")
+    assert load("r5", [name, str(tmp_path / "q.csv")]) == ({"p.csv": CHANGED, "q.csv": NEW}, 35)
+    latest = {r.stock_code: str(r.price_date) for r in daily.latest_prices(tables).rows(spark).collect()}
+    assert len(latest) == 30 and sorted(latest.values()).count("2026-03-12") == 5
+    assert sorted(r.number for r in ledger.entries(spark).collect()) == [1, 2]
+    assert sorted(p.name for p in (tmp_path / "db" / "market_prices" / "load_id=r5").glob("price_date=*")) == ["price_date=2026-03-12"]
+
+
+def test_a_repeated_run_replaces_its_rows_and_log(spark, tmp_path):
+    prices = b.write(tmp_path / "prices.csv", b.price_file_lines())
+    tables = daily.DailyTables(str(tmp_path / "db"))
+    args = (b.holdings(spark), b.customers(spark), b.targets(spark), b.AS_OF, dt.datetime(2026, 3, 11, 18))
+    for _ in range(2):
+        assert len(daily.run_day(spark, tables, prices, *args).collect()) == 24
+        assert loaded_rows(spark, tables.path("market_prices"), LoadLedger(tables.path("load_ledger"))).count() == 30
+        assert spark.read.parquet(tables.path("run_log")).count() == 5
+
+
 def test_trips_by_condition_counts_like_a_join(spark):
     base = dt.datetime(2018, 1, 1, 10)
     trips = spark.createDataFrame([(base + dt.timedelta(minutes=7 * i),) for i in range(40)], "starttime timestamp")

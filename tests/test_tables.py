@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from ledgerlane.operators import changes as ch, joins, quality as q, reshape, tables as tb
 from ledgerlane.operators.latest import top_per_key
+from ledgerlane.operators.versions import VersionedTable
+from ledgerlane.sources import folders
 
 NOW = dt.datetime(2024, 5, 1, 12)
 OLD = dt.datetime(2024, 4, 1, 12)
@@ -252,3 +254,60 @@ def test_consuming_moves_the_stored_offset_and_reading_does_not(spark, tmp_path)
     opened().consume(spark)
     logged = sorted((r.version, r.k, r.v, r.action) for r in opened().logged(spark).filter("k <> 3").collect())
     assert logged == [(3, 2, "b", "DELETE"), (3, 2, "d", "INSERT"), (3, 4, "e", "INSERT"), (5, 1, "a", "DELETE")]
+
+
+def test_repeated_source_keys_fail_with_the_key(spark):
+    old, new = frame(spark, [(1, "a")]), frame(spark, [(2, "x"), (2, "y"), (3, "z")])
+    with pytest.raises(Exception, match="several source rows for key k=2"):
+        tb.upsert(old, new, ["k"]).collect()
+    with pytest.raises(Exception, match="several source rows for key k=NULL"):
+        tb.upsert(old, frame(spark, [(None, "x"), (None, "x")]), ["k"]).collect()
+
+
+def test_stored_delete_removes_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(1, "a b/c", 1), (2, "a b/c", 2), (3, "d", 3), (4, None, 4), (5, "e", 5)]
+    frame(spark, rows, "k int, g string, h int").write.partitionBy("g").parquet(path)
+    tb.delete_stored(spark, path, (F.col("k") <= 2) | (F.col("k") == 4), ["g"])
+    assert values(spark.read.parquet(path), "k", "g") == [(3, "d"), (5, "e")]
+    assert [n for n in folders.names(spark, path) if "=" in n] == ["g=d", "g=e"]
+    tb.delete_stored(spark, path, F.col("k") == 99, ["g"])
+    tb.delete_stored(spark, path, F.lit(None).cast("boolean"), ["g"])
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_versioned_table(spark, tmp_path):
+    """The same states as from the log; as-of and rollback read intervals, not the log."""
+    log = frame(spark, LOG, "k int, version int, op string, v string")
+    table = VersionedTable(str(tmp_path / "v"), frame(spark, []).schema, ["k"])
+    for version in range(1, 7):
+        for _ in range(1 + version % 2):  # a version that is written again replaces itself
+            table.apply(log.filter(F.col("version") == version), version)
+    states = {v: values(tb.state_before(log, ["k"], v)) for v in range(1, 8)}
+    assert {v: values(table.as_of(spark, v)) for v in range(1, 8)} == states
+    assert "Window" not in table.as_of(spark, 4)._jdf.queryExecution().toString()
+    undo = table.rollback(spark, 5, 7)
+    assert values(undo, "k", "op") == [(1, "UPDATE"), (2, "DELETE")]
+    assert values(table.current(spark)) == states[5] == values(table.as_of(spark, 8))
+    assert values(table.as_of(spark, 7)) == states[7] and values(table.as_of(spark, 2)) == states[2]
+    table.rollback(spark, 1, 8)
+    assert values(table.current(spark)) == [] and values(table.as_of(spark, 8)) == states[5]
+
+
+def test_digests_find_the_parts_that_differ(spark, tmp_path):
+    base = spark.range(4000).select(F.col("id").cast("int").alias("k"), F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id").cast("string")).alias("v"), F.lit(None).cast("string").alias("w"))
+    base = base.withColumn("w", F.when(F.col("k") == 6, "x"))
+    # Few keys change; one row only moves its value into the other, NULL, column.
+    new = base.filter("k <> 17").withColumns({"v": F.when(F.col("k") == 6, "x").when(F.col("k") == 40, "new").otherwise(F.col("v")), "w": F.when(F.col("k") == 6, None).otherwise(F.col("w"))})
+    new = new.unionByName(spark.createDataFrame([(9000, None, None)], new.schema))
+    want = values(ch.net_changes(base, new, ["k"]))
+    assert len(want) == 6 and values(ch.net_changes_by_digest(base, new, ["k"], 64)) == want == values(ch.net_changes_by_digest(base, new, ["k"], 1))
+    assert ch.net_changes_by_digest(base, base, ["k"]).count() == 0
+    one, two = (ch._by_part(ch.part_digests(df, ["k"], 256)) for df in (base, new))
+    assert len([p for p in one.keys() | two.keys() if one.get(p) != two.get(p)]) <= 4
+    consumed = ch.ConsumedChanges(str(tmp_path / "c"), ["k"])
+    consumed.publish(base)
+    consumed.publish(new)
+    assert values(consumed.pending(spark)) == want
+    plan = consumed.pending(spark)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [") == 2 and plan.count(f"{ch.PART}#") and " IN (" in plan.split("PartitionFilters: [")[1].split("]")[0]
