@@ -25,6 +25,9 @@ from ..session import materialize
 from ..sources import folders
 
 BUCKET_BYTES = 128 << 20
+# Layers are left alone while there are few of them and they are small.
+MERGE_LAYERS = 8
+MERGE_BYTES = 32 << 20
 # More touched buckets than this are not named in a filter.
 NAMED_BUCKETS = 10_000
 MERGE_FROM = 4
@@ -86,32 +89,57 @@ class LayeredTable:
                     rows = rows.filter(F.col("bucket").isin(touched))
         return rows.select(*self.schema.fieldNames())
 
+    def empty(self, spark: SparkSession, below: int | None = None) -> bool:
+        base, layers = self._stored(spark, below)
+        return base is None and not layers
+
     def rows(self, spark: SparkSession, below: int | None = None, among: DataFrame | None = None) -> DataFrame:
         """One row per key as of all batches below ``below``; with ``among`` only rows that agree with one of its rows in its columns.
 
         ``among`` is small against the table; with the bucket or index column in it, only buckets that can have such rows are read.
         """
         base, layers = self._stored(spark, below)
-        pick = (lambda df: df if among is None else df.join(among.distinct(), among.columns, "left_semi"))
-        newest = None
-        if layers:
-            stacked = reduce(DataFrame.unionByName, [pick(self._read(spark, a)).withColumn("__n", F.lit(a.last)) for a in layers])
-            if len(layers) > 1:
-                values = F.max_by(F.struct(*self.schema.fieldNames()), "__n").alias("r")
-                stacked = stacked.groupBy(*[F.col(k).alias(f"__{k}") for k in self.keys]).agg(values).select("r.*")
-            newest = stacked.select(*self.schema.fieldNames())
+        names = self.schema.fieldNames()
+        if base is None and not layers:
+            return spark.createDataFrame([], self.schema)
+        if among is not None:
+            # Few rows: those of base and layers together, the highest of each key.
+            found = [] if base is None else [self._from_base(spark, base, among).withColumn("__n", F.lit(base.last))]
+            rows = reduce(DataFrame.unionByName, [*found, *[self._read(spark, a).withColumn("__n", F.lit(a.last)) for a in layers]])
+            rows = rows.join(among.distinct(), among.columns, "left_semi")
+            if set(among.columns) <= set(self.keys):
+                return rows.select(*names) if len(layers) + len(found) == 1 else self._highest(rows)
+            # A row that agrees may be hidden by one that does not, in a layer.
+            return self._uncovered(spark, self._highest(rows.withColumn("__low", F.col("__n")), "__low"), layers)
+        newest = self._highest(reduce(DataFrame.unionByName, [self._read(spark, a).withColumn("__n", F.lit(a.last)) for a in layers])) if len(layers) > 1 else self._read(spark, layers[0]) if layers else None
         if base is None:
-            return newest if newest is not None else spark.createDataFrame([], self.schema)
-        below_rows = pick(self._from_base(spark, base, among))
+            return newest.select(*names)
         if newest is None:
-            return below_rows
-        above = reduce(DataFrame.unionByName, [self._read(spark, a).select(*self.keys) for a in layers]).select(*[F.col(k).alias(f"__{k}") for k in self.keys])
-        hidden = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]
-        return below_rows.join(above, hidden, "left_anti").unionByName(newest)
+            return self._from_base(spark, base, None)
+        return self._uncovered(spark, self._from_base(spark, base, None).withColumn("__low", F.lit(base.last)), layers).unionByName(newest.select(*names))
 
-    def write(self, rows: DataFrame, number: int) -> None:
-        """The rows of batch ``number``: full rows, one per key. Writing it again replaces it."""
-        rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]).write.mode("overwrite").parquet(f"{self.path}/layer-{number}-{number}-0")
+    def _highest(self, rows: DataFrame, *further: str) -> DataFrame:
+        """Per key the row with the greatest ``__n``."""
+        best = F.max_by(F.struct(*self.schema.fieldNames(), *further), "__n").alias("r")
+        return rows.groupBy(*[F.col(k).alias(f"__{k}") for k in self.keys]).agg(best).select("r.*")
+
+    def _uncovered(self, spark: SparkSession, rows: DataFrame, layers: list[_Layer]) -> DataFrame:
+        """``rows`` whose keys are in no layer above their own, ``__low``."""
+        if layers:
+            above = reduce(DataFrame.unionByName, [self._read(spark, a).select(*[F.col(k).alias(f"__{k}") for k in self.keys], F.lit(a.last).alias("__above")) for a in layers])
+            rows = rows.join(above, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in self.keys]) & (F.col("__above") > F.col("__low")), "left_anti")
+        return rows.select(*self.schema.fieldNames())
+
+    def write(self, rows: DataFrame, number: int) -> DataFrame:
+        """Write the rows of batch ``number``, full rows, one per key, and read them back. Writing it again replaces it.
+
+        Further columns of ``rows`` are kept in the layer, so that who wrote it need not write them elsewhere; the table does not see them.
+        """
+        own = {f.name: f.dataType for f in self.schema.fields}
+        rows = rows.select(*[F.col(n).cast(t).alias(n) for n, t in own.items()], *[c for c in rows.columns if c not in own])
+        path = f"{self.path}/layer-{number}-{number}-0"
+        rows.write.mode("overwrite").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def merge(self, spark: SparkSession, below: int) -> None:
         """Put layers below batch ``below`` together where that is due, and remove what they replace."""
@@ -119,7 +147,9 @@ class LayeredTable:
         if layers:
             sizes = [folders.size(spark, f"{self.path}/{a.name}") for a in layers]
             held = folders.size(spark, f"{self.path}/{base.name}") if base else 0
-            if 2 * sum(sizes) >= held:
+            if len(layers) < MERGE_LAYERS and sum(sizes) < MERGE_BYTES:
+                pass
+            elif 2 * sum(sizes) >= held:
                 self._new_base(spark, below, layers[-1].last, held + sum(sizes))
             else:
                 # From the newest on: layers no more than twice as large as all above them.
@@ -129,14 +159,11 @@ class LayeredTable:
                         break
                     taken, total = [a, *taken], total + n
                 if len(taken) >= MERGE_FROM:
-                    stacked = LayeredTable(self.path, self.schema, self.keys)
-                    rows = stacked._merged(spark, taken)
-                    rows.write.mode("overwrite").parquet(f"{self.path}/layer-{taken[0].first}-{taken[-1].last}-0")
+                    self._merged(spark, taken).write.mode("overwrite").parquet(f"{self.path}/layer-{taken[0].first}-{taken[-1].last}-0")
         self._clear(spark, below)
 
     def _merged(self, spark: SparkSession, layers: list[_Layer]) -> DataFrame:
-        stacked = reduce(DataFrame.unionByName, [self._read(spark, a).withColumn("__n", F.lit(a.last)) for a in layers])
-        return stacked.groupBy(*[F.col(k).alias(f"__{k}") for k in self.keys]).agg(F.max_by(F.struct(*self.schema.fieldNames()), "__n").alias("r")).select("r.*")
+        return self._highest(reduce(DataFrame.unionByName, [self._read(spark, a).withColumn("__n", F.lit(a.last)) for a in layers]))
 
     def _new_base(self, spark: SparkSession, below: int, last: int, size: int) -> None:
         rows = self.rows(spark, below)

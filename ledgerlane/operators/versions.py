@@ -41,10 +41,10 @@ class VersionedTable:
         spark, names = changes.sparkSession, self.schema.fieldNames()
         self._now.merge(spark, version)
         rows = once_per_key(changes, self.keys).select(*names, F.lit(version).cast("long").alias(FROM), (F.col(op_column) == deleted).alias(GONE))
-        rows = materialize(rows, "version")
-        old = self._now.rows(spark, version, rows.select(*self.keys))
-        old.write.mode("overwrite").parquet(f"{self.path}/replaced/{TO}={version}")
-        self._now.write(rows, version)
+        written = self._now.write(rows, version)
+        old = self._now.rows(spark, version, written.select(*self.keys))
+        if not self._now.empty(spark, version):
+            old.write.mode("overwrite").parquet(f"{self.path}/replaced/{TO}={version}")
 
     def current(self, spark: SparkSession) -> DataFrame:
         return self._now.rows(spark).filter(~F.col(GONE)).select(*self.schema.fieldNames())

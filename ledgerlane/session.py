@@ -57,8 +57,9 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{context.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, label: str = "table", partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, label: str = "table", partition_by: list[str] | None = None, reader: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, in the session ``reader`` if one is given. A stream hands its batches out in a
+    session of its own, which does not plan adaptively.
 
     Cuts the lineage, survives lost executors, and gives the planner the true size, so that
     later joins are broadcast only when the table really is small.
@@ -69,4 +70,4 @@ def materialize(df: DataFrame, label: str = "table", partition_by: list[str] | N
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return (reader or spark).read.schema(df.schema).parquet(path)

@@ -16,6 +16,7 @@ from what is below n, so a repeated batch gives the same.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -58,16 +59,18 @@ class PositionState:
     def live(self, spark: SparkSession, below: int | None = None, among: DataFrame | None = None) -> DataFrame:
         return self.table.rows(spark, below, among).filter(~F.col("deleted"))
 
-    def take(self, batch: DataFrame, number: int) -> DataFrame:
-        """Write the changes that win as layer ``number``; a row per key with the structs of before (``__old``, NULL when new) and now (``__new``)."""
-        spark, columns = batch.sparkSession, self.schema.fieldNames()
+    def take(self, batch: DataFrame, number: int, spark: SparkSession | None = None) -> DataFrame:
+        """Write the changes that win as layer ``number``; a row per key with the structs of before (``__old``, NULL when new) and now (``__new``).
+
+        ``spark`` is the session to work in; a stream hands its batches out in one that does not plan adaptively.
+        """
+        spark, columns = spark or batch.sparkSession, self.schema.fieldNames()
         self.table.merge(spark, number)
-        changes = materialize(newest_changes(batch, POSITION_KEY).select(*columns), "changes")
+        changes = materialize(newest_changes(batch, POSITION_KEY).select(*columns), "changes", reader=spark)
         before = self.table.rows(spark, number, changes.select(*POSITION_KEY))
         wins = F.col(OLD_SIDE).isNull() | (F.col(f"{NEW_SIDE}.seq") >= F.col(f"{OLD_SIDE}.seq"))
-        moved = materialize(paired(before, changes, POSITION_KEY).filter(F.col(NEW_SIDE).isNotNull() & wins), "moved")
-        self.table.write(moved.select(f"{NEW_SIDE}.*"), number)
-        return moved
+        moved = paired(before, changes, POSITION_KEY).filter(F.col(NEW_SIDE).isNotNull() & wins)
+        return self.table.write(moved.select(f"{NEW_SIDE}.*", OLD_SIDE, NEW_SIDE), number).select(*POSITION_KEY, OLD_SIDE, NEW_SIDE)
 
 
 @dataclass
@@ -110,10 +113,10 @@ class Dimension:
         touched = [k for k, of in differing if of == parts]
         here = part().isin(touched)
         old = self.table.rows(spark, number).filter("present").drop("present").filter(here)
-        moved = materialize(paired(old, now.filter(here), [self.key]).filter(~F.col(OLD_SIDE).eqNullSafe(F.col(NEW_SIDE))), "moved")
-        self.table.write(moved.select(self.key, *[F.col(f"{NEW_SIDE}.{n}").alias(n) for n in names], F.col(NEW_SIDE).isNotNull().alias("present")), number)
+        moved = paired(old, now.filter(here), [self.key]).filter(~F.col(OLD_SIDE).eqNullSafe(F.col(NEW_SIDE)))
+        moved = self.table.write(moved.select(self.key, *[F.col(f"{NEW_SIDE}.{n}").alias(n) for n in names], F.col(NEW_SIDE).isNotNull().alias("present"), OLD_SIDE, NEW_SIDE), number)
         self.digests.write(spark.createDataFrame([(*k, *d) for k, d in differing.items()], self.digests.schema), number)
-        return moved
+        return moved.select(self.key, OLD_SIDE, NEW_SIDE)
 
     def now(self, spark: SparkSession, number: int, among: DataFrame) -> DataFrame:
         """The rows after batch ``number``."""
@@ -155,17 +158,18 @@ class Summaries:
     def segments(self) -> LayeredTable:
         return LayeredTable(f"{self.path}/segments", _schema(_SEGMENTS), ["risk_tolerance"])
 
-    def refresh(self, batch: DataFrame, number: int, customers: DataFrame, prices: DataFrame) -> None:
+    def refresh(self, batch: DataFrame, number: int, customers: DataFrame, prices: DataFrame, spark: SparkSession | None = None) -> None:
         """Take in a batch of changes, and whatever changed in customers and prices since the last one.
 
         ``batch`` may be empty. Writes rows in proportion to what changed; repeating it replaces its own layers.
         """
-        spark = batch.sparkSession
+        spark = spark or batch.sparkSession
         for table in (self.totals, self.segments):
             table.merge(spark, number)
-        repriced = self.prices.take(prices, number)
-        renamed = self.customers.take(customers, number)
-        moved = self.positions.take(batch, number)
+        # Three tables that do not depend on each other, at the same time.
+        with ThreadPoolExecutor(3) as together:
+            taken = [together.submit(self.prices.take, prices, number), together.submit(self.customers.take, customers, number), together.submit(self.positions.take, batch, number, spark)]
+            repriced, renamed, moved = (t.result() for t in taken)
         deltas = self._deltas(spark, number, moved, repriced)
         if renamed is not None:
             deltas = deltas.unionByName(renamed.select("customer_id", *[F.lit(0).alias(c) for c in _SUMS]))
@@ -179,9 +183,7 @@ class Summaries:
         rows = both.select("customer_id", "customer_name", "risk_tolerance", "known", OLD_SIDE, *[v.alias(c) for c, v in sums.items()])
         rows = rows.withColumn("listed", F.coalesce("known", F.lit(False)) & (F.col("stock_count") > 0)).withColumn(
             "overall_return_pct", percent(F.col("total_current_value") - F.col("total_investment"), "total_investment", 2))
-        rows = materialize(rows.filter("customer_id IS NOT NULL").drop("known"), "totals")
-        self.totals.write(rows, number)
-        self._move_segments(spark, number, rows)
+        self._move_segments(spark, number, self.totals.write(rows.filter("customer_id IS NOT NULL").drop("known"), number))
 
     def _deltas(self, spark: SparkSession, number: int, moved: DataFrame, repriced: DataFrame | None) -> DataFrame:
         """What each change adds to the sums of its customer."""
@@ -246,9 +248,11 @@ def refresh_summary(
         # Their rows only wake the job.
         changes = changes.withColumn("__wake", F.lit(False)).unionByName(dim_changes.select(F.lit(True).alias("__wake")), allowMissingColumns=True)
 
+    spark = changes.sparkSession
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
         rows = batch.filter(~F.col("__wake")).drop("__wake") if dim_changes is not None else batch
-        summaries.refresh(rows, batch_id, *dims())
+        summaries.refresh(rows, batch_id, *dims(), spark)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(refresh)
     return start(writer, trigger)
@@ -260,8 +264,10 @@ def change_log_sink(changes: DataFrame, state: PositionState, log_path: str, che
     The log folder carries the batch number and follows from the state below it, so the log of a repeated batch replaces itself.
     """
 
+    spark = changes.sparkSession
+
     def record(batch: DataFrame, batch_id: int) -> None:
-        moved = state.take(batch, batch_id)
+        moved = state.take(batch, batch_id, spark)
         old, new = (moved.filter(F.col(s).isNotNull()).select(f"{s}.*").filter(~F.col("deleted")).drop("seq", "deleted") for s in (OLD_SIDE, NEW_SIDE))
         found = net_changes(old, new, POSITION_KEY).withColumn("change_timestamp", F.current_timestamp())
         found.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
