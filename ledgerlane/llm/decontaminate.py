@@ -11,10 +11,12 @@ being its number of occurrences.
 2. Their SimHash fingerprints (64 bits) are cut into ``RADIUS`` + 1 blocks. Two fingerprints that differ in at most
    ``RADIUS`` bits agree in a block, so joining on (item, block, value) misses none of them.
 3. Candidates within the radius are verified by the exact similarity.
+4. One shingle with a large weight can move a fingerprint by more than any radius while the similarity stays high. So windows of step 1 that the
+   blocks do not bring together with their item are held against it exactly as well; nothing is lost to the radius.
 
 Everything is DataFrame functions. The items' shingles are broadcast up to ``BROADCAST_ROWS`` rows and
 joined by a shuffle beyond. NULL and empty texts and items match nothing; rows that repeat an id and a text
-count once; a NULL id is reported as NULL.
+count once; a NULL id, of a document or an item, is reported as NULL.
 """
 
 from __future__ import annotations
@@ -90,7 +92,9 @@ def similarity(a: Column, b: Column) -> Column:
     def common(counted: Column, other: Column) -> Column:
         return F.aggregate(counted, F.lit(0), lambda total, x: total + F.least(x["c"], F.size(F.filter(other, lambda y: y == x["h"]))))
 
-    shared = let(b, lambda other: common(_counts(a), other))
+    # Without repeats, which is usual, the bags are sets and meet in one pass.
+    alone = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    shared = let(b, lambda other: F.when(alone, F.size(F.array_intersect(a, other))).otherwise(common(_counts(a), other)))
     return let(shared, lambda s: s / (F.size(a) + F.size(b) - s))
 
 
@@ -106,8 +110,8 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     """
     held = items.select(F.col(f"`{item_id}`").alias("item_id"), shingles(F.col(f"`{item_text}`")).alias("bag"))
     held = held.filter(F.size("bag") > 0).dropDuplicates(["item_id", "bag"])
-    held = materialize(held.select("item_id", "bag", F.size("bag").alias("m"), let(F.col("bag"), fingerprint).alias("print")), "benchmark-items")
-    wanted = materialize(held.select("item_id", F.xxhash64("bag").alias("version"), "m", F.explode(F.array_distinct("bag")).alias("h")), "benchmark-shingles")
+    held = materialize(held.select("item_id", F.xxhash64("item_id", F.col("item_id").isNull(), "bag").alias("version"), "bag", F.size("bag").alias("m"), let(F.col("bag"), fingerprint).alias("print")), "benchmark-items")
+    wanted = materialize(held.select("item_id", "version", "m", F.explode(F.array_distinct("bag")).alias("h")), "benchmark-shingles")
     small = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
 
     places = docs.select(*_identity(doc_id, text), shingles(F.col(f"`{text}`")).alias("bag"))
@@ -129,12 +133,17 @@ def contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     bodies = docs.select(*_identity(doc_id, text), F.col(f"`{text}`").alias("t")).alias("d").join(named.alias("w"), same, "left_semi")
     bags = bodies.dropDuplicates(["id", "mark"]).select("id", "mark", shingles(F.col("t")).alias("all"))
     windows = starts.alias("w").join(bags.alias("d"), same).select("w.id", "w.mark", "item_id", "version", "start", F.slice("all", F.col("start") + 1, F.col("m")).alias("window"))
-    windows = windows.select("*", let(F.col("window"), fingerprint).alias("print"))
-
-    by_block = held.select("item_id", F.xxhash64("bag").alias("version"), "bag", F.col("print").alias("own"), F.explode(_blocks(F.col("print"))).alias("block"))
-    near = windows.select("*", F.explode(_blocks(F.col("print"))).alias("block")).join(by_block, ["item_id", "version", "block"])
-    near = near.dropDuplicates(["id", "mark", "item_id", "version", "start"]).withColumn("distance", _distance(F.col("print"), F.col("own")))
-    near = near.filter(F.col("distance") <= RADIUS).withColumn("similarity", similarity(F.col("window"), F.col("bag"))).filter(F.col("similarity") >= least)
+    windows = materialize(windows.select("*", let(F.col("window"), fingerprint).alias("print")), "prints")
+
+    by_block = held.select("version", F.col("print").alias("own"), F.explode(_blocks(F.col("print"))).alias("block"))
+    place = ["id", "mark", "version", "start"]
+    met = windows.select(*place, "print", F.explode(_blocks(F.col("print"))).alias("block")).join(by_block, ["version", "block"]).dropDuplicates(place)
+    met = met.filter(_distance(F.col("print"), F.col("own")) <= RADIUS)
+    met = met.select(*[F.col(c).alias(f"m_{c}") for c in place], F.lit(True).alias("met"))
+    both = windows.join(met, [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in place], "left").join(held.select("version", "bag", F.col("print").alias("own")), "version")
+    # Candidates of the blocks, and the exact way for the rest.
+    checked = both.withColumn("similarity", similarity(F.col("window"), F.col("bag"))).filter(F.col("similarity") >= least)
+    near = checked.withColumn("distance", _distance(F.col("print"), F.col("own"))).withColumn("by_blocks", F.coalesce("met", F.lit(False)))
     best = near.groupBy("id", "mark", "item_id").agg(F.max(F.struct("similarity", -F.col("start"), F.col("distance").alias("d"))).alias("x"))
     return best.select("id", "mark", "item_id", F.round("x.similarity", 6).alias("similarity"), (-F.col("x.col2")).cast("long").alias("start"), F.col("x.d").cast("long").alias("distance"))
 

@@ -129,7 +129,8 @@ def counted_bundles(bodies: DataFrame, length: int, gram: int) -> tuple[DataFram
         F.count("*").alias("n"), F.first(windows).alias("windows"), *_first_place("key", at),
         F.sum(_mark("key", at)).alias("begins"), F.sum(_mark("key", at + windows)).alias("ends"))
     by_content = materialize(by_content.withColumn("at", _word("first")).drop("first"), "bundles")
-    forms = by_content.groupBy("anchor").agg((F.count("*") > 1).alias("open"))
+    # A written table, so that the planner can split the rows of an anchor with very many bundles.
+    forms = materialize(by_content.groupBy("anchor").agg((F.count("*") > 1).alias("open")), "anchor-forms")
     return places, by_content.join(forms, "anchor")
 
 

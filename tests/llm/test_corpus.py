@@ -48,6 +48,19 @@ def test_components_of_chains_and_hubs(spark):
     assert all(got[k] == 100 for k in range(100, 161)) and all(got[k] == 1 for k in range(1, 40)) and got[500] == got[499] == 499
 
 
+def test_leaks_with_runs_of_one_word_and_null_items(spark, docs):
+    """One shingle of a large weight moves the fingerprint far beyond the radius while the similarity stays above 0.8."""
+    base = [f"w{k}" for k in range(370)]
+    item = " ".join(base + ["run"] * 40)
+    texts = ["start " + " ".join(base + ["other"] * 40) + " end", item, "nothing of it", " ".join(base[:200])]
+    items = spark.createDataFrame([(None, item), (7, "q " * 60 + " ".join(base[:100]))], "item_id long, text string")
+    got = {(r.id, r.item_id): r.similarity for r in decontaminate.contaminated(docs(texts), items).collect()}
+    known = [(r.item_id, r.text) for r in items.collect()]
+    want = brute.leaks(list(enumerate(texts)), known)
+    assert got == pytest.approx(want, abs=2e-6) and {(0, None), (1, None)} <= set(got)
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs(texts), items).collect()} == {2, 3}
+
+
 def test_leaks(spark, docs, corpus):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     known = [(r.item_id, r.text) for r in items.collect()]

@@ -94,3 +94,37 @@ def test_empty_table_and_query(spark, docs):
         want = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
         assert rows[r.doc_id].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert rows[r.doc_id].n_email == sum(k == "email" for k, _, _ in base)
+
+
+def plain_added(text):
+    """Account numbers and keys by a second, plain way: every start, the length of the country, the checksum by whole numbers."""
+    out = []
+    for m in re.finditer(r"(?<![A-Za-z0-9])([A-Z]{2})[0-9]{2}", text):
+        n = next((n for n, codes in pii.IBAN_LENGTHS.items() if m[1] in codes.split()), 0)
+        end, taken = m.start(), ""
+        while n and len(taken) < n and end < len(text) and (text[end].isalnum() or text[end] == " " and text[end - 1] != " "):
+            taken, end = taken + text[end].strip(), end + 1
+        number = "".join(str(int(c, 36)) for c in taken[4:] + taken[:4])
+        if n and len(taken) == n and not text[end : end + 1].isalnum() and taken.isupper() and int(number) % 97 == 1:
+            out.append(("iban", m.start(), end))
+    return out
+
+
+NUMBERS = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "BE68 5390 0754 7034"]
+
+
+def test_account_numbers_before_any_word(docs):
+    texts = [f"IBAN {n}{tail}" for n in NUMBERS for tail in ("", " BIC COBADEFFXXX", " OK", " AND " + NUMBERS[0], " 12 34", ".", "X", " X1", "\nNEXT LINE")]
+    texts += ["DE89370400440532013001 BIC X", "XX89370400440532013000", "IBAN DE89 3704 0044 0532 0130", "ID AB12 CD34 " + NUMBERS[1]]
+    got = found(docs(texts))
+    for i, t in enumerate(texts):
+        assert [s for s in got[i] if s[0] == "iban"] == plain_added(t), t
+    clean = {r.doc_id: r.text for r in pii.redact(docs(texts)).collect()}
+    assert clean[1] == "IBAN <IBAN> BIC COBADEFFXXX" and clean[3] == "IBAN <IBAN> AND <IBAN>"
+
+
+def test_keys_of_any_length_and_case(docs):
+    texts = [f'token = "{k}"' for k in ("0123456789abcdef", "0123456789ABCDEF" * 10, "aB" * 5000, "0123456789abcde", "g" * 32)]
+    got = found(docs(texts))
+    assert [[s[0] for s in got[i]] for i in range(5)] == [["secret"], ["secret"], ["secret"], [], []]
+    assert got[2] == [("secret", 9, 10_009)]
