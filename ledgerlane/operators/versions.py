@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 from ..session import materialize
@@ -46,6 +46,19 @@ class VersionedTable:
         if not self._now.empty(spark, version):
             old.write.mode("overwrite").parquet(f"{self.path}/replaced/{TO}={version}")
 
+    def load(self, log: DataFrame, version_column: str = "version", op_column: str = "op", deleted: str = "DELETE") -> None:
+        """Take over a change log, whole rows with version and operation, into an empty table; one pass over it."""
+        spark, names = log.sparkSession, self.schema.fieldNames()
+        if not self._now.empty(spark):
+            raise ValueError(f"{self.path} has versions already")
+        following = F.lead(version_column).over(Window.partitionBy(*self.keys).orderBy(version_column))
+        rows = log.select(*names, F.col(version_column).cast("long").alias(FROM), (F.col(op_column) == deleted).alias(GONE), following.cast("long").alias(TO))
+        rows = materialize(rows, "history")
+        rows.filter(F.col(TO).isNotNull()).hint("rebalance", TO).write.mode("overwrite").partitionBy(TO).parquet(f"{self.path}/replaced")
+        last = log.agg(F.max(version_column)).first()[0]
+        if last is not None:
+            self._now.write(rows.filter(F.col(TO).isNull()).drop(TO), int(last))
+
     def current(self, spark: SparkSession) -> DataFrame:
         return self._now.rows(spark).filter(~F.col(GONE)).select(*self.schema.fieldNames())
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import quality as q
-from ..session import materialize
+from ..operators.metric_store import MetricStore
+from ..session import materialize, workspace
 from .registry import query
 from .relational_queries import CHILD, NULL_PARENT, PARENT, child, parent
 from .roles import CONTACTS, NOW, Roles
@@ -137,3 +140,20 @@ def dqm_suite(r: Roles) -> DataFrame:
     suite.attach("EVENTS", "FRESHNESS", "ts").attach_fk("CHILD", "k", "PARENT", "k")
     tables = {"CONTACTS": r.contacts, "EVENTS": r.table("events"), "CHILD": child(r), "PARENT": parent(r)}
     return q.latest_results(suite.run(tables, r.now))
+
+
+@query("dqm_incremental", f"""
+SELECT 2 AS run, 'ROW_COUNT' AS metric_name, NULL AS column_name, count(*) AS value, count(CASE WHEN o_orderkey % 4 <> 0 THEN 1 END) AS previous FROM orders
+UNION ALL SELECT 2, 'UNIQUE_COUNT', 'o_custkey', count(DISTINCT o_custkey), count(DISTINCT CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END) FROM orders
+UNION ALL SELECT 2, 'DUPLICATE_COUNT', 'o_custkey', count(o_custkey) - count(DISTINCT o_custkey),
+  count(CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END) - count(DISTINCT CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END) FROM orders
+UNION ALL SELECT 2, 'NULL_COUNT', 'status', count(CASE WHEN o_orderkey % 9 = 0 THEN 1 END), count(CASE WHEN o_orderkey % 4 <> 0 AND o_orderkey % 9 = 0 THEN 1 END) FROM orders""")
+def dqm_incremental(r: Roles) -> DataFrame:
+    """Metrics of a table to which rows are added between two runs: the second reads the added files only."""
+    path, key = workspace(r.spark, "measured"), F.col("o_orderkey")
+    orders = r.table("orders").select("o_orderkey", "o_custkey", F.when(key % 9 != 0, F.col("o_orderstatus")).alias("status"))
+    store = MetricStore(workspace(r.spark, "metrics"), "ORDERS", [("ROW_COUNT", None), ("UNIQUE_COUNT", "o_custkey"), ("DUPLICATE_COUNT", "o_custkey"), ("NULL_COUNT", "status")])
+    for run, rows in ((1, orders.filter(key % 4 != 0)), (2, orders.filter(key % 4 == 0))):
+        rows.write.mode("append").parquet(path)
+        store.run(r.spark, path, run, dt.datetime(2024, 1, run))
+    return store.trend(r.spark).select(F.lit(2).alias("run"), "metric_name", "column_name", "value", "previous")

@@ -8,7 +8,7 @@ from ..functions.numeric import guarded_ratio, mean_of, percent
 from ..functions.temporal import day_of, hour_bucket, month_bucket
 from ..operators import joins
 from ..operators.latest import latest_per_key
-from ..operators.reshape import fixed_pivot, max_pivot, share_pivot, text_list
+from ..operators.reshape import fixed_pivot, max_pivot, share_pivot, share_rows, text_list
 from ..plans import portfolio as pf, trips as tp
 from .registry import query
 from .roles import ALLOC, POS, SECTORS, TRIPS, Roles, dbl, mean, pct, stamp, text
@@ -333,6 +333,16 @@ def agg_pivot_dynamic(r: Roles) -> DataFrame:
     return share_pivot(orders, ["o_orderstatus"], "o_orderpriority", "v")
 
 
+@query("agg_share_rows", f"""
+WITH s AS (SELECT o_orderpriority, o_custkey, sum(CAST(o_totalprice AS DECIMAL(12,2))) AS v FROM orders GROUP BY o_orderpriority, o_custkey),
+t AS (SELECT o_orderpriority, sum(v) AS total FROM s GROUP BY o_orderpriority)
+SELECT s.o_orderpriority, s.o_custkey, {pct('s.v', 't.total', 4)} AS share FROM s JOIN t ON s.o_orderpriority = t.o_orderpriority""")
+def agg_share_rows(r: Roles) -> DataFrame:
+    """The dynamic pivot in long form: any number of values, none of them named or brought to the driver."""
+    orders = r.table("orders").select("o_orderpriority", "o_custkey", F.col("o_totalprice").cast("decimal(12,2)").alias("v"))
+    return share_rows(orders, ["o_orderpriority"], "o_custkey", "v", 4)
+
+
 @query("agg_time_hourly", f"""WITH {TRIPS}
 SELECT {stamp("date_trunc('hour', starttime)")} AS hour, count(*) AS n, CAST(sum(tripduration) AS BIGINT) AS seconds FROM trips GROUP BY 1""")
 def agg_time_hourly(r: Roles) -> DataFrame:

@@ -118,7 +118,7 @@ OBSERVATIONS = """obs AS (
     CASE WHEN event_id % 7 <> 0 THEN CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 WHEN 0 THEN 'Clear' WHEN 1 THEN 'Clouds'
       WHEN 2 THEN 'Rain' WHEN 3 THEN 'Snow' ELSE 'Mist' END END AS weather,
     CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id
-  FROM events WHERE event_type = 'view')"""
+  FROM events)"""
 RUNS = """runs AS (
   SELECT concat('STEP_', CAST(user_id % 5 AS VARCHAR)) AS name,
     CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'SKIPPED' WHEN 'click' THEN 'EXECUTING' ELSE 'SUCCEEDED' END AS state,
@@ -236,7 +236,7 @@ class Roles:
 
     @cached_property
     def observations(self) -> DataFrame:
-        """View events as weather observations, one nested JSON text each."""
+        """All events as weather observations, one nested JSON text each."""
         k = F.get_json_object("props", "$.k").cast("int")
         event = F.col("event_id")
         condition = F.lit(CONDITIONS[4])
@@ -254,7 +254,7 @@ class Roles:
             weather.alias("weather"),
             F.struct(F.col("user_id").cast("double").alias("deg"), (k * 0.125).alias("speed")).alias("wind"),
         )
-        return self.table("events").filter(F.col("event_type") == "view").select("event_id", F.to_json(body).alias("body"))
+        return self.table("events").select("event_id", F.to_json(body).alias("body"))
 
     @cached_property
     def runs(self) -> DataFrame:

@@ -44,6 +44,11 @@ def _variants(r: Roles) -> DataFrame:
     return r.observations.select(parse("body").alias("v"))
 
 
+def _typed(r: Roles) -> DataFrame:
+    """Only the fields that a query uses are parsed."""
+    return r.observations.select(F.from_json("body", tp.OBSERVATION_SCHEMA, {"timestampFormat": "yyyy-MM-dd HH:mm:ss"}).alias("o")).select("o.*")
+
+
 @query("weather_view", f"{_VIEW} SELECT * REPLACE ({stamp('observation_time')} AS observation_time) FROM view_rows WHERE station_id = 5128638")
 def weather_view(r: Roles) -> DataFrame:
     return tp.weather_view(_variants(r))
@@ -51,14 +56,13 @@ def weather_view(r: Roles) -> DataFrame:
 
 @query("weather_view_typed", f"{_VIEW} SELECT * REPLACE ({stamp('observation_time')} AS observation_time) FROM view_rows WHERE station_id = 5128638")
 def weather_view_typed(r: Roles) -> DataFrame:
-    typed = r.observations.select(F.from_json("body", tp.OBSERVATION_SCHEMA, {"timestampFormat": "yyyy-MM-dd HH:mm:ss"}).alias("o"))
-    return tp.weather_view_typed(typed.select("o.*"))
+    return tp.weather_view_typed(_typed(r))
 
 
 @query("weather_month", f"""{_VIEW} SELECT {stamp('observation_time')} AS observation_time, station_id, weather FROM view_rows
 WHERE date_trunc('month', observation_time) = TIMESTAMP '2024-01-01 00:00:00'""")
 def weather_month(r: Roles) -> DataFrame:
-    return tp.weather_month(tp.weather_view(_variants(r), None), "2024-01-01").select("observation_time", "station_id", "weather")
+    return tp.weather_month(tp.weather_view_typed(_typed(r), None), "2024-01-01").select("observation_time", "station_id", "weather")
 
 
 @query("trips_by_condition", f"""{_VIEW}, {TRIPS}
@@ -66,7 +70,7 @@ SELECT weather AS conditions, count(*) AS num_trips FROM trips
 LEFT JOIN (SELECT * FROM view_rows WHERE station_id = 5128638) v ON date_trunc('hour', v.observation_time) = date_trunc('hour', starttime)
 WHERE weather IS NOT NULL GROUP BY 1""")
 def trips_by_condition(r: Roles) -> DataFrame:
-    return tp.trips_by_condition(r.trips, tp.weather_view(_variants(r)))
+    return tp.trips_by_condition(r.trips, tp.weather_view_typed(_typed(r)))
 
 
 # ---- run log -------------------------------------------------------------------------------

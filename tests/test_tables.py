@@ -290,6 +290,13 @@ def test_versioned_table(spark, tmp_path):
     assert values(undo, "k", "op") == [(1, "UPDATE"), (2, "DELETE")]
     assert values(table.current(spark)) == states[5] == values(table.as_of(spark, 8))
     assert values(table.as_of(spark, 7)) == states[7] and values(table.as_of(spark, 2)) == states[2]
+    loaded = VersionedTable(str(tmp_path / "loaded"), table.schema, ["k"])
+    loaded.load(log.filter("version < 4"))
+    for version in range(4, 7):
+        loaded.apply(log.filter(F.col("version") == version), version)
+    assert {v: values(loaded.as_of(spark, v)) for v in range(1, 8)} == states
+    with pytest.raises(ValueError):
+        loaded.load(log)
     table.rollback(spark, 1, 8)
     assert values(table.current(spark)) == [] and values(table.as_of(spark, 8)) == states[5]
 
@@ -311,3 +318,35 @@ def test_digests_find_the_parts_that_differ(spark, tmp_path):
     assert values(consumed.pending(spark)) == want
     plan = consumed.pending(spark)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("PartitionFilters: [") == 2 and plan.count(f"{ch.PART}#") and " IN (" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_metric_store_equals_a_full_scan(spark, tmp_path):
+    """Runs over added files, a repeated run, an empty file, and a file that is replaced."""
+    import shutil
+
+    from ledgerlane.operators.metric_store import MetricStore
+
+    spec = [("ROW_COUNT", None), ("NULL_COUNT", "v"), ("UNIQUE_COUNT", "v"), ("DUPLICATE_COUNT", "v"), ("FRESHNESS", "t")]
+    store, path = MetricStore(str(tmp_path / "m"), "T", spec), str(tmp_path / "t")
+    schema, now = "v int, t timestamp", dt.datetime(2024, 5, 1, 13)
+
+    def add(rows, folder="a"):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{path}/part={folder}")
+
+    def check(run):
+        got = {(r.metric_name, r.column_name): r.value for r in store.run(spark, path, run, now).collect()}
+        full = {(r.metric_name, r.column_name): r.value for r in q.metrics(spark.read.parquet(path), "T", spec, F.lit(now)).collect()}
+        assert got == full
+        return store._states(spark, run + 1).filter(F.col("run") == run).filter("file IS NOT NULL").select("file").distinct().count()
+
+    add([(1, OLD), (1, OLD), (None, OLD), (2, NOW)])
+    assert check(1) == 1
+    add([(2, OLD), (3, None), (None, None)], "b")
+    add([], "b")
+    assert check(2) == 2 and check(2) == 2  # only what is new; a repeated run replaces itself
+    assert check(3) == 0
+    shutil.rmtree(tmp_path / "t" / "part=a")
+    add([(9, OLD)], "c")
+    assert check(4) == 3  # a counted file is gone: from the beginning
+    trend = {r.metric_name: (r.value, r.previous) for r in store.trend(spark).collect()}
+    assert trend["ROW_COUNT"] == (4, 7) and store.history(spark).count() == 20
