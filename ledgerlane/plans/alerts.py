@@ -11,6 +11,7 @@ from ..functions.text import NEWLINE, joined
 from ..operators.latest import top_per_key
 from ..operators.reshape import text_list
 from ..operators.tables import close_and_reissue, insert_if_absent
+from ..session import materialize
 
 # Words of the alert texts, the status marks, and the layout of the message.
 THRESHOLD = 5
@@ -93,10 +94,14 @@ def rep_alerts(rows: DataFrame, as_of: Column | dt.date) -> DataFrame:
 
 
 def rep_summary(rows: DataFrame) -> DataFrame:
-    """Per representative and day: counts, list of customers, mean and greatest deviation."""
+    """Per representative and day: counts, list of customers, mean and greatest deviation.
+
+    The open alerts are written once; counts and lists come from there.
+    """
     gap = F.abs("deviation")
     keys = ["sales_rep", "alert_date"]
-    open_rows = rows.filter(F.col("alert_status") == OPEN)
+    open_rows = rows.filter(F.col("alert_status") == OPEN).select(*keys, "customer_id", "customer_name", "deviation")
+    open_rows = materialize(open_rows, "open-alerts")
     counts = open_rows.groupBy(*keys).agg(
         F.count_distinct("customer_id").alias("customers_need_action"),
         F.count(F.lit(1)).alias("total_alerts"),
@@ -116,13 +121,15 @@ def rep_detail(rows: DataFrame, as_of: Column | dt.date) -> DataFrame:
     ).orderBy("sales_rep", F.abs("deviation").desc(), "customer_id", "sector")
 
 
-def rep_message(rows: DataFrame, as_of: Column | dt.date, n: int = MESSAGE_ROWS) -> DataFrame:
+def rep_message(rows: DataFrame, as_of: Column | dt.date, n: int = MESSAGE_ROWS, reps: DataFrame | None = None) -> DataFrame:
     """One mail text per representative: counts of all open alerts and the ``n`` largest ones.
 
     Set based: rank per representative (only n rows per task reach the shuffle), then join the
-    lines of a representative in rank order.
+    lines of a representative in rank order. The day's open alerts are written once. ``reps`` (sales_rep) names who gets a
+    message; one without alerts gets its counts of 0. Without it, only those with alerts do.
     """
     day = on_day(rows, as_of, True).filter(F.col("sales_rep").isNotNull())
+    day = materialize(day.select("sales_rep", "customer_id", "customer_name", "sector", "deviation", "recommended_action"), "open-alerts")
     counts = day.groupBy("sales_rep").agg(
         F.count_distinct("customer_id").alias("customers"), F.count(F.lit(1)).alias("alerts")
     )
@@ -143,4 +150,8 @@ def rep_message(rows: DataFrame, as_of: Column | dt.date, n: int = MESSAGE_ROWS)
         F.lit(MESSAGE_DETAIL + NEWLINE + MESSAGE_DETAIL_LEAD + NEWLINE * 2),
         F.col("lines"), F.lit(MESSAGE_FOOTER + NEWLINE * 2 + MESSAGE_AUTO),
     )
-    return counts.join(lines, ["sales_rep"]).select("sales_rep", "customers", "alerts", body.alias("body"))
+    found = counts.join(lines, ["sales_rep"])
+    if reps is not None:
+        named = reps.select("sales_rep").filter(F.col("sales_rep").isNotNull()).distinct().join(found, ["sales_rep"], "left")
+        found = named.withColumns({"customers": F.coalesce("customers", F.lit(0)), "alerts": F.coalesce("alerts", F.lit(0)), "lines": F.coalesce("lines", F.lit(""))})
+    return found.select("sales_rep", "customers", "alerts", body.alias("body"))

@@ -8,6 +8,7 @@ from ..functions.numeric import guarded_ratio, mean_of, percent
 from ..functions.temporal import day_of, hour_bucket, month_bucket
 from ..operators import joins
 from ..operators.latest import latest_per_key
+from ..operators.distinct import distinct_counts
 from ..operators.reshape import fixed_pivot, max_pivot, share_pivot, share_rows, text_list
 from ..plans import portfolio as pf, trips as tp
 from .registry import query
@@ -223,7 +224,7 @@ def agg_count(r: Roles) -> DataFrame:
 
 @query("agg_count_distinct", "SELECT l_returnflag, count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts FROM lineitem GROUP BY l_returnflag")
 def agg_count_distinct(r: Roles) -> DataFrame:
-    return r.table("lineitem").groupBy("l_returnflag").agg(F.count_distinct("l_suppkey").alias("suppliers"), F.count_distinct("l_partkey").alias("parts"))
+    return distinct_counts(r.table("lineitem"), ["l_returnflag"], {"suppliers": "l_suppkey", "parts": "l_partkey"})
 
 
 @query("agg_sum_avg_max", f"""

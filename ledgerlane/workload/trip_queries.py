@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numeric import round_to
 from ..functions.semistructured import parse
 from ..plans import alerts as al, runlog, trips as tp
+from ..session import materialize
 from .registry import query
 from .roles import ALERTS, OBSERVATIONS, RUNS, TRIPS, Roles, dbl, mean, stamp
 from .scalar_queries import KM
@@ -115,7 +116,8 @@ UNION ALL
 SELECT 'EMAIL_ALERTS', 'EMAIL_PREPARATION', 'SUCCESS', count(DISTINCT sales_rep),
   'Prepared email alerts for ' || CAST(count(DISTINCT sales_rep) AS VARCHAR) || ' sales representatives' FROM alert_rows WHERE alert_status = 'OPEN'""")
 def run_log_step(r: Roles) -> DataFrame:
-    issued = al.on_day(r.alerts, r.as_of, True)
+    # Both entries come from one written table.
+    issued = materialize(al.on_day(r.alerts, r.as_of, True).select("sales_rep"), "issued")
     generated = runlog.run_step(
         issued, "REBALANCE_ALERTS", "ALERT_GENERATION",
         F.concat(F.lit("Generated "), F.col("n").cast("string"), F.lit(" alerts for date: "), r.as_of.cast("string")))
@@ -152,7 +154,12 @@ _BODY = _lines(
 ranked AS (SELECT *, row_number() OVER (PARTITION BY sales_rep ORDER BY abs(deviation) DESC, customer_id, sector) AS rn FROM alert_rows
   WHERE alert_status = 'OPEN'),
 lines AS (SELECT sales_rep, string_agg({_DETAIL}, '' ORDER BY rn) AS lines FROM ranked WHERE rn <= {al.MESSAGE_ROWS} GROUP BY sales_rep),
-counts AS (SELECT sales_rep, count(DISTINCT customer_id) AS customers, count(*) AS alerts FROM ranked GROUP BY sales_rep)
-SELECT c.sales_rep, customers, alerts, {_BODY} AS body FROM counts c JOIN lines l ON c.sales_rep = l.sales_rep""")
+counts AS (SELECT sales_rep, count(DISTINCT customer_id) AS customers, count(*) AS alerts FROM ranked GROUP BY sales_rep),
+c AS (
+  SELECT n.n_name AS sales_rep, coalesce(customers, 0) AS customers, coalesce(alerts, 0) AS alerts, coalesce(lines, '') AS lines
+  FROM (SELECT DISTINCT n_name FROM nation UNION SELECT 'NOWHERE') n LEFT JOIN counts k ON k.sales_rep = n.n_name LEFT JOIN lines l ON l.sales_rep = n.n_name)
+SELECT c.sales_rep, customers, alerts, {_BODY} AS body FROM c""")
 def rep_message(r: Roles) -> DataFrame:
-    return al.rep_message(r.alerts, r.as_of)
+    """A message for every representative by name; one has no alerts."""
+    reps = r.table("nation").select(F.col("n_name").alias("sales_rep")).unionByName(r.spark.createDataFrame([("NOWHERE",)], "sales_rep string"))
+    return al.rep_message(r.alerts, r.as_of, reps=reps)

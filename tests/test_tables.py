@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.operators import changes as ch, joins, quality as q, reshape, tables as tb
+from ledgerlane.operators.distinct import distinct_counts
 from ledgerlane.operators.latest import top_per_key
 from ledgerlane.operators.versions import VersionedTable
 from ledgerlane.sources import folders
@@ -350,3 +351,13 @@ def test_metric_store_equals_a_full_scan(spark, tmp_path):
     assert check(4) == 3  # a counted file is gone: from the beginning
     trend = {r.metric_name: (r.value, r.previous) for r in store.trend(spark).collect()}
     assert trend["ROW_COUNT"] == (4, 7) and store.history(spark).count() == 20
+
+
+@pytest.mark.parametrize("bitmaps", [None, False])
+def test_distinct_counts_without_expand(spark, bitmaps):
+    rows = [(g, k % n if k % 5 else None, f"s{k % 3}") for g, n in (("a", 7), ("b", 50_000), (None, 1)) for k in range(200)]
+    rows += [("c", None, None), ("a", -(1 << 40), "x"), ("a", (1 << 62), "x"), ("a", -1, None), ("a", 0, None)]
+    df = spark.createDataFrame(rows, "g string, n long, s string")
+    got = distinct_counts(df, ["g"], {"numbers": "n", "texts": "s"}, bitmaps)
+    assert "Expand" not in got._jdf.queryExecution().toString()
+    assert values(got) == values(df.groupBy("g").agg(F.count_distinct("n"), F.count_distinct("s")))
