@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .columns import as_rows, let
+from .columns import let
 
 # Fixed value: what separates words.
 SPACE = " \t\n\x0b\x0c\r"
@@ -96,31 +96,34 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < WINDOW, F.lit(0).cast("long")).otherwise(let(_window_marks(words), counted))
 
 
-def with_measures(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """``keep`` columns and the measures of every text.
+def measures(text: Column) -> Column:
+    """One struct with the measures of a text.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_lines (with a word), n_stop_words and
     n_repeat_words: words inside windows of eight words that the text has at least twice. Equal
     windows are found by a hash first; only windows whose hash repeats are compared as text.
     """
     stops = sorted({form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())})
-    body = F.coalesce(F.col(text), F.lit(""))
-    of_words = let(F.array_remove(F.split(body, SPACES), ""), lambda w: F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        F.size(F.filter(w, lambda x: x.isin(stops))).cast("long").alias("n_stop_words"),
-        _repeat_words(w).alias("n_repeat_words")))
-    of_lines = let(F.filter(F.split(body, "\n"), lambda x: F.translate(x, SPACE, "") != ""), lambda x: F.struct(
-        F.size(x).cast("long").alias("n_lines"),
-        (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
-    found = docs.select(
-        *keep, of_words.alias("__w"), of_lines.alias("__l"),
-        F.length(F.translate(body, SPACE, "")).cast("long").alias("word_chars"),
-        (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"))
-    return found.select(*keep, "__w.n_words", "word_chars", "n_symbols", "__l.n_dup_lines", "__w.n_repeat_words", "__l.n_lines", "__w.n_stop_words")
-
-
-def measure(name: str) -> Column:
-    """A column of ``with_measures`` or a ratio of two of them; 0 when the text has no words."""
+
+    def found(body: Column) -> Column:
+        of_words = let(F.array_remove(F.split(body, SPACES), ""), lambda w: F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.size(F.filter(w, lambda x: x.isin(stops))).cast("long").alias("n_stop_words"),
+            _repeat_words(w).alias("n_repeat_words")))
+        of_lines = let(F.filter(F.split(body, "\n"), lambda x: F.translate(x, SPACE, "") != ""), lambda x: F.struct(
+            F.size(x).cast("long").alias("n_lines"),
+            (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines")))
+        word_chars = F.length(F.translate(body, SPACE, "")).cast("long")
+        n_symbols = (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long")
+        return let(of_words, lambda w: let(of_lines, lambda lines: F.struct(
+            w["n_words"].alias("n_words"), word_chars.alias("word_chars"), n_symbols.alias("n_symbols"), lines["n_dup_lines"].alias("n_dup_lines"),
+            w["n_repeat_words"].alias("n_repeat_words"), lines["n_lines"].alias("n_lines"), w["n_stop_words"].alias("n_stop_words"))))
+
+    return let(F.coalesce(text, F.lit("")), found)
+
+
+def measure(name: str, of: Column) -> Column:
+    """A field of the struct of ``measures`` or a ratio of two of them; 0 when the text has no words."""
     ratios = {
         "mean_word_chars": ("word_chars", "n_words", 1.0),
         "symbol_ratio": ("n_symbols", "n_words", 1.0),
@@ -129,29 +132,32 @@ def measure(name: str) -> Column:
         "repeat_percent": ("n_repeat_words", "n_words", 100.0),
     }
     if name not in ratios:
-        return F.col(name)
+        return of[name]
     above, below, times = ratios[name]
-    return F.when(F.col(below) > 0, F.lit(times) * F.col(above) / F.col(below)).otherwise(F.lit(0.0))
+    return F.when(of[below] > 0, F.lit(times) * of[above] / of[below]).otherwise(F.lit(0.0))
 
 
-def fails(rules: list[Threshold]) -> Column:
+def fails(rules: list[Threshold], of: Column) -> Column:
     """True where a rule of the table is broken."""
     broken = F.lit(False)
     for rule in rules:
         if rule.low is not None:
-            broken = broken | (measure(rule.measure) < rule.low)
+            broken = broken | (measure(rule.measure, of) < rule.low)
         if rule.high is not None:
-            broken = broken | (measure(rule.measure) > rule.high)
+            broken = broken | (measure(rule.measure, of) > rule.high)
     return broken
 
 
 def quality_rules(docs: DataFrame, keep: list[str], text: str = "text", base: list[Threshold] = BASE, rules: list[Threshold] = THRESHOLDS) -> DataFrame:
     """``keep``, the measures, ``base_failed`` and ``kept`` (no rule of either table is broken)."""
-    measured = with_measures(docs, keep, text)
-    return measured.select("*", fails(base).alias("base_failed"), (~(fails(base) | fails(rules))).alias("kept"))
+    of = F.col("__m")
+    measured = docs.select(*keep, measures(F.col(text)).alias("__m"))
+    return measured.select(*keep, "__m.*", fails(base, of).alias("base_failed"), (~(fails(base, of) | fails(rules, of))).alias("kept"))
+
 
+def keep_good(docs: DataFrame, text: str = "text", rules: list[Threshold] = BASE + THRESHOLDS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with all their columns.
 
-def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with all their columns."""
-    judged = quality_rules(docs.select(as_rows(docs), F.col(f"`{text}`").alias("__text")), ["__row"], "__text")
-    return judged.filter("kept").select("__row.*")
+    The verdict is one expression: a filter on columns of a projection would be pushed below it, with a copy of all measures for each of its terms.
+    """
+    return docs.filter(let(measures(F.col(f"`{text}`")), lambda of: ~fails(rules, of)))

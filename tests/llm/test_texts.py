@@ -24,6 +24,20 @@ def test_quality_measures(docs, corpus):
     assert quality.quality_rules(docs([]), ["doc_id"]).count() == 0
 
 
+def test_quality_filter_cuts_the_words_once(docs):
+    """The filter holds one copy of the measures: one split into words, one into lines."""
+    plan = quality.keep_good(docs(EDGE))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 2 and plan.count("xxhash64(") <= 4
+
+
+def test_quality_filter_agrees_with_the_verdicts(docs, corpus):
+    for df in (docs(EDGE), corpus):
+        kept = {r.doc_id for r in quality.quality_rules(df, ["doc_id"]).filter("kept").collect()}
+        assert {r.doc_id for r in quality.keep_good(df).collect()} == kept
+    odd = docs(EDGE).selectExpr("doc_id", "text", "1 AS n_words", "2 AS kept", "3 AS `__m`", "4 AS `a.b`")
+    assert quality.keep_good(odd).columns == odd.columns
+
+
 def test_quality_keeps_clean_documents(spark, corpus):
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").filter("quality = 1").select("doc_id")
     judged = quality.quality_rules(corpus, ["doc_id"]).join(labels, "doc_id").filter("NOT base_failed")
