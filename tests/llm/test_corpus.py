@@ -130,3 +130,14 @@ def test_stages_stand_edge_cases(spark, docs):
             out = stage(spark, df, SF)
             assert out.columns == df.columns and out.count() <= df.count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs(cases), SF).count() == len(cases)
+
+
+def test_join_stage_keeps_different_texts_under_one_id(spark):
+    long, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(60))
+    near = long + " more"
+    rows = [(3, long, 1), (7, near, 2), (7, other, 3), (7, other, 4), (None, long, 5), (None, "alone here", 6), (9, "", 7), (9, None, 8), (None, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, component int").repartition(4)
+    out = corpus_pipeline.one_of_each_group(spark, df, SF)
+    assert out.columns == df.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(3, long), (7, other), (None, "alone here"), (9, ""), (9, None), (None, None)], key=str)
