@@ -250,3 +250,15 @@ def test_cache_is_bounded_and_right():
     for k in range(20):
         words = [str(k * 7 % 13 + j) + "x" for j in range(30)] + ["y" * 300]
         assert cache.get(words) == [w.upper() for w in words] and len(cache.known) <= 50
+
+
+def test_tokens_of_a_batch_are_those_of_its_texts():
+    """Words as hashes, without strings: a word never goes on into the next text, and every text has its end."""
+    import zstandard
+
+    texts = [t.encode() for t in ["one two", "two", "", " ", "One\x0btwo\x0c", "", "é\x00x", "\x1ctail", "last " * 3, "a" * 600_000, "z"]]
+    for some in (texts, texts[::-1], [b""], [b"", b"", b"word"]):
+        hashes, place, stops = language_model._dictionary([len(t) for t in some], zstandard.ZstdCompressor(1).compress(b"".join(some)))
+        assert (np.diff(hashes.astype(object)) > 0).all() and len(stops) == len(some) and stops[-1] == len(place)
+        for text, got in zip(some, np.split(place, stops[:-1])):
+            assert hashes[got].tolist() == language_model.hash_words([*language_model.tokens(text), language_model.END]).tolist()
