@@ -173,10 +173,16 @@ def load_validate_errors(r: Roles) -> DataFrame:
     return found.select(folder("file").alias("part"), "line_no", F.substring_index("line", ",", 1).alias("order_id"), "column_name", "message")
 
 
-@query("load_validate_rows", f"WITH {_TEXT} SELECT {_ROW} FROM typed WHERE part = 3 ORDER BY CAST(order_id AS BIGINT) LIMIT 7")
+@query("load_validate_rows", f"""WITH {_TEXT},
+looked_at AS (SELECT order_id FROM typed WHERE part = 3 LIMIT 7)
+SELECT {_ROW}, (SELECT count(*) FROM looked_at) AS checked, (SELECT count(*) FROM typed WHERE {_GOOD}) AS clean FROM typed WHERE part = 3""")
 def load_validate_rows(r: Roles) -> DataFrame:
-    """The first rows of the clean group, converted."""
-    return dl.validate_rows(dl.tag_rows(r.spark, _paths(write_orders(r, in_order=True))[3], SPEC), 7)
+    """All rows of the clean group, converted, next to the number of rows of a first look and of the clean rows of all groups."""
+    paths = _paths(write_orders(r))
+    group = dl.tag_rows(r.spark, paths[3], SPEC)
+    looked_at = dl.validate_rows(group, 7).agg(F.count(F.lit(1)))
+    clean = dl.good_rows(dl.tag_rows(r.spark, paths, SPEC)).agg(F.count(F.lit(1)))
+    return dl.validate_rows(group).withColumn("checked", looked_at.scalar()).withColumn("clean", clean.scalar())
 
 
 @query("load_on_error_continue", f"WITH {_TEXT} SELECT {_ROW} FROM typed WHERE {_GOOD}")

@@ -62,6 +62,23 @@ def test_validate_rows(spark, tmp_path, holding_file):
         dl.validate_rows(dl.tag_rows(spark, holding_file, HOLDING_FIELDS), 31).collect()
 
 
+def test_validate_all_rows(spark, tmp_path, holding_file):
+    path = b.write(tmp_path / "prices.csv", b.price_file_lines())
+    assert dl.validate_rows(dl.tag_rows(spark, path, PRICE_FIELDS)).count() == len(b.price_file_lines()) - 1
+    with pytest.raises(Exception, match="load aborted"):
+        dl.validate_rows(dl.tag_rows(spark, holding_file, HOLDING_FIELDS)).collect()
+
+
+def test_validated_group_is_whole(spark):
+    from ledgerlane import workload
+
+    sf = "/root/testdata/sf0.001"
+    keys = [r[0] for r in spark.read.parquet(f"{sf}/orders.parquet").filter("o_orderkey % 8 = 3").select("o_orderkey").collect()]
+    got = workload.QUERIES["load_validate_rows"](spark, sf).collect()
+    assert sorted(int(r.order_id) for r in got) == sorted(keys) and len(keys) > 7
+    assert {r.checked for r in got} == {7} and {r.clean for r in got} == {workload.QUERIES["load_on_error_continue"](spark, sf).count()}
+
+
 def test_rejects_and_repair(spark, holding_file):
     aside = dl.rejects(dl.tag_rows(spark, holding_file, HOLDING_FIELDS))
     row = aside.first()
