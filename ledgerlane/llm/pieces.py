@@ -214,6 +214,8 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat), pa.array([c.decode(i) for i in ids], pa.string())],
                 names=["r", "i", "d"])
+        # The worker may serve other stages next, which need the memory.
+        c.cache.forget()
 
     out = rows.mapInArrow(run, f"r {rows.schema[0].dataType.simpleString()}, i array<int>, d string")
     return out.select(*[F.col("r")[c].alias(c) for c in names], F.col("i").alias("piece_ids"), F.col("d").alias("decoded_text"))

@@ -36,6 +36,23 @@ def test_jaccard_components(docs, monkeypatch, size, percent, rows, block):
     assert got == brute.components(list(enumerate(texts)), size, percent)
 
 
+def test_join_writes_few_bytes_and_slices_batches(docs, monkeypatch):
+    """Texts are joined compressed, once and only where candidates want them; the sets of a large batch are never held all at once."""
+    held, whole = [], jaccard_join.materialize
+    monkeypatch.setattr(jaccard_join, "materialize", lambda df, label, **more: held.append((label, df.columns)) or whole(df, label, **more))
+    monkeypatch.setattr(jaccard_join, "SLICE_CHARS", 300)
+    monkeypatch.setattr(jaccard_join, "KEPT_SETS", 2)
+    texts = near_copies(seed=4)
+    got = {r.id: (r.n_shingles, r.component) for r in jaccard_join.jaccard_components(docs(texts), 5, 80).collect()}
+    assert got == brute.components(list(enumerate(texts)), 5, 80)
+    assert ("wanted-texts", ["id", "z"]) in held and ("wanted", ["id"]) in held
+    assert not any("shingles" in columns for _, columns in held)
+    long = "word " * 500
+    batch = jaccard_join.pa.RecordBatch.from_arrays([jaccard_join.pa.array([1, 2, 3, 4]), jaccard_join.pa.array(["a b", "c", long, "d"])], names=["id", "t"])
+    cut = list(jaccard_join._slices([batch]))
+    assert [b.column(0).to_pylist() for b in cut] == [[1, 2], [3], [4]]
+
+
 def test_jaccard_of_the_corpus_and_of_nothing(docs, corpus):
     got = {r.id: (r.n_shingles, r.component) for r in jaccard_join.jaccard_components(corpus).collect()}
     assert got == brute.components([(r.doc_id, r.text) for r in corpus.collect()], 4, 85)
@@ -123,6 +140,16 @@ def test_pipeline_against_plain_python(spark):
         assert r.text == r.decoded_text == clean[i] and r.n_chars == len(r.text) and r.piece_ids == codec.encode(r.text).tolist()
 
 
+def test_encoding_leaves_no_remembered_stretches():
+    """Workers serve other stages after the encoding, which have to do with what it leaves."""
+    from ledgerlane.llm.caches import WordCache
+
+    cache = WordCache(lambda words: [len(w) for w in words], 2)
+    assert cache.get(["a", "bb"]) == [1, 2] and cache.get(["ccc", "dd"]) == [3, 2] and cache.known and cache.old
+    cache.forget()
+    assert not cache.known and not cache.old and cache.get(["a"]) == [1]
+
+
 def test_stages_stand_edge_cases(spark, docs):
     cases = [None, "", " ", "w " * 30, "w " * 30, "a mail to joe@mail.example.com " * 3]
     for _, stage in corpus_pipeline.STAGES[:-1]:
