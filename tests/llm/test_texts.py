@@ -262,3 +262,95 @@ def test_tokens_of_a_batch_are_those_of_its_texts():
         assert (np.diff(hashes.astype(object)) > 0).all() and len(stops) == len(some) and stops[-1] == len(place)
         for text, got in zip(some, np.split(place, stops[:-1])):
             assert hashes[got].tolist() == language_model.hash_words([*language_model.tokens(text), language_model.END]).tolist()
+
+
+def _texts_of_known_words():
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(words[k] for k in np.minimum(rng.zipf(1.4, int(rng.integers(0, 60))), 40) - 1) for _ in range(60)]
+    return [" ".join(words), *texts, *[f"{words[k % 40]} {words[k * 7 % 40]} {words[k * 3 % 40]}" for k in range(80)], None]
+
+
+def test_known_words_are_mixed_along_the_text(docs, spark):
+    """Decision by decision in plain Python: contexts reach two words back, and weights step along the text."""
+    import math
+    from collections import Counter
+
+    texts = _texts_of_known_words()
+    df = docs(texts)
+    trained = [zlib.crc32(str(i).encode()) % 10 != 0 for i in range(len(texts))]
+    told = [[*brute.words(t, low=True), "\n"] for t in texts]
+    counts = Counter(w for t, ok in zip(told, trained) if ok for w in t)
+    table = spark.createDataFrame([(w.encode(), c) for w, c in [*counts.items(), ("unseen", 0)]], "word binary, c bigint")
+    numbers = {bytes(r.word).decode(): r.number for r in language_model.numbered_words(table, dict(Counter(counts.values())), 4).collect()}
+    assert sorted(numbers.values()) == list(range(1, len(counts) + 1))
+    assert all(counts[v] >= counts[w] for v in numbers for w in numbers if numbers[v] < numbers[w])
+
+    def path(w):
+        size = numbers[w].bit_length() - 1
+        return f"{size:05b}" + f"{numbers[w]:b}"[1:]
+
+    def context(words, t, reach):
+        return tuple(["\n", *words[:t]][-reach:]) if t >= reach - 1 else None
+
+    follow = Counter()
+    for words, ok in zip(told, trained):
+        for t, w in enumerate(words):
+            for at in range(len(path(w)) + 1) if ok else ():
+                for place in ((), *((r, context(words, t, r)) for r in (1, 2))):
+                    follow[place, path(w)[:at]] += 1
+    odds = lambda a, b: math.log(a + 0.05) - math.log(b + 0.05)
+    total, once, start = sum(counts.values()), sum(c == 1 for c in counts.values()), language_model.start_weights()
+    got = {r.doc_id: r.score for r in language_model.score_documents(df).collect()}
+    for i, words in enumerate(told):
+        if any(w not in counts for w in words):
+            continue
+        weights, own, score, steps = start.copy(), Counter(), 0.0, np.zeros_like(start)
+        for t, w in enumerate(words):
+            cases = [(0, [odds(t, 0), odds(total - once, once), 0.0, 0.0])]
+            for at in range(len(path(w))):
+                node, taken = path(w)[:at], path(w)[: at + 1]
+                if follow[(), node] == follow[(), taken]:
+                    continue
+                ways = [(own[taken], own[node] - own[taken])]
+                ways += [(follow[p, taken], follow[p, node] - follow[p, taken]) for p in ((), *((r, context(words, t, r)) for r in (1, 2)))]
+                x = [odds(*way) for way in ways]
+                cases.append((1 + (at >= 5), x[:2] + [round(v * 512) / 512 for v in x[2:]]))
+            for kind, x in cases:
+                gate = (kind * 3 + (abs(x[3]) > 0) + (abs(x[3]) > 3.1)) * 3 + (abs(x[2]) > 0) + (abs(x[2]) > 3.1)
+                mixed = min(16, max(-16, float(np.dot(x, weights[gate]))))
+                score -= math.log1p(math.exp(-mixed)) / math.log(10)
+                steps[gate] += 0.02 * np.array(x) / (1 + math.exp(mixed))
+            for at in range(len(path(w)) + 1):
+                own[path(w)[:at]] += 1
+            if t % 8 == 7:
+                weights, steps = weights + steps, np.zeros_like(start)
+        assert got[i] == pytest.approx(score, rel=1e-4, abs=1e-4), (i, words)
+
+
+def test_scores_know_the_word_before(spark):
+    """The same words in an order that training texts have are likelier than in another one."""
+    usual, other = "one small cat sat here and one big dog ran there", "there cat one and sat dog here big one small ran"
+    assert sorted(usual.split()) == sorted(other.split())
+    held = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10 == 0]
+    rows = [(k, usual if k not in held or k == held[0] else other) for k in range(200)]
+    got = {r.doc_id: r.score for r in language_model.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]] > got[held[1]] + 5
+
+
+def test_scores_do_not_depend_on_the_partitions(corpus):
+    some = corpus.limit(300).select("doc_id", "text").collect()
+    df = corpus.sparkSession.createDataFrame(some, "doc_id long, text string")
+    got = [{r.doc_id: r.score for r in language_model.score_documents(df.repartition(n)).collect()} for n in (4, 13)]
+    assert got[0] == got[1] and len(got[0]) == len(some)
+
+
+def test_next_words_are_a_distribution():
+    """Without contexts seen, all known words and the unknown one add up to one after any text."""
+    shares = language_model.Shares({50: 1, 7: 5, 3: 10, 1: 21})
+    none = lambda n: [np.zeros((shares.depths, n), np.int16)] * language_model.REACH
+    score = lambda w, stops: 10 ** language_model.known_scores(w, stops, shares.odds(np.maximum(w, 1)), none(len(w)), shares)
+    for head in ([], [3], [1, 0, 37, 0, 1, 1, 2, 9, 30, 1], [37] * 20):
+        tails = np.array([[*head, k] for k in range(38)])
+        before = score(np.array(head), np.array([len(head)]))[0] if head else 1.0
+        assert score(tails.ravel(), np.arange(1, 39) * (len(head) + 1)).sum() == pytest.approx(before, rel=1e-4)
