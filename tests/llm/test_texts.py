@@ -341,7 +341,17 @@ def test_scores_know_the_word_before(spark):
 def test_scores_do_not_depend_on_the_partitions(corpus):
     some = corpus.limit(300).select("doc_id", "text").collect()
     df = corpus.sparkSession.createDataFrame(some, "doc_id long, text string")
-    got = [{r.doc_id: r.score for r in language_model.score_documents(df.repartition(n)).collect()} for n in (4, 13)]
+    conf, got = df.sparkSession.conf, []
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [conf.get(name) for name in names]
+    try:
+        for n in (4, 13):
+            for name, value in zip(names, (str(n), "false")):
+                conf.set(name, value)
+            got.append({r.doc_id: r.score for r in language_model.score_documents(df.repartition(n)).collect()})
+    finally:
+        for name, value in zip(names, before):
+            conf.set(name, value)
     assert got[0] == got[1] and len(got[0]) == len(some)
 
 
