@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .caches import WordCache, slices
+from .caches import WordCache, give_back, slices
 from .columns import as_rows
 
 MARK = "▁"
@@ -188,6 +188,13 @@ def codec(path: str) -> PieceCodec:
     return _CODECS[path]
 
 
+def forget_codec(path: str) -> None:
+    """Drops what this worker remembers for a model file and gives the memory back."""
+    if path in _CODECS:
+        _CODECS.pop(path).cache.forget()
+    give_back()
+
+
 def _byte_replace(error):
     return "�", error.start + 1
 
@@ -214,8 +221,10 @@ def encode_documents(docs: DataFrame, model_path: str, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat), pa.array([c.decode(i) for i in ids], pa.string())],
                 names=["r", "i", "d"])
-        # The worker may serve other stages next, which need the memory.
-        c.cache.forget()
+            del batch, ids, offsets, flat
+        # The worker may serve other stages next, which need the memory. Stretches take most of it, pairs of pieces much of the rest.
+        del c
+        forget_codec(model_path)
 
     out = rows.mapInArrow(run, f"r {rows.schema[0].dataType.simpleString()}, i array<int>, d string")
     return out.select(*[F.col("r")[c].alias(c) for c in names], F.col("i").alias("piece_ids"), F.col("d").alias("decoded_text"))

@@ -53,6 +53,32 @@ def test_join_writes_few_bytes_and_slices_batches(docs, monkeypatch):
     assert [b.column(0).to_pylist() for b in cut] == [[1, 2], [3], [4]]
 
 
+def test_small_tables_are_few_files(spark, docs, monkeypatch):
+    """Tables of ids do not become a file, which costs two processes on a local disk, for every one of many shuffle partitions."""
+    import ledgerlane.llm.components as stars
+
+    files = {}
+    for part in (jaccard_join, stars, decontaminate, corpus_pipeline):
+        whole = part.materialize
+        monkeypatch.setattr(part, "materialize", lambda df, label, whole=whole, **more: files.setdefault(label, whole(df, label, **more)))
+    many = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    for k, v in many.items():
+        spark.conf.set(k, v)
+    try:
+        texts = near_copies(seed=5)
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+        items = spark.createDataFrame([(k, texts[k]) for k in range(0, len(texts), 3)], "item_id long, text string")
+        heads = brute.components(list(enumerate(texts)), corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT)
+        assert {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, df, "").collect()} == {i for i in range(len(texts)) if heads[i][1] in (i, None)}
+        assert decontaminate.drop_contaminated(df, items).count() < len(texts)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    at_most = {"links": 4 * spark.sparkContext.defaultParallelism}
+    assert {k: len(x.inputFiles()) for k, x in files.items() if len(x.inputFiles()) > at_most.get(k, spark.sparkContext.defaultParallelism)} == {}
+
+
 def test_jaccard_of_the_corpus_and_of_nothing(docs, corpus):
     got = {r.id: (r.n_shingles, r.component) for r in jaccard_join.jaccard_components(corpus).collect()}
     assert got == brute.components([(r.doc_id, r.text) for r in corpus.collect()], 4, 85)
@@ -150,6 +176,22 @@ def test_encoding_leaves_no_remembered_stretches():
     assert not cache.known and not cache.old and cache.get(["a"]) == [1]
 
 
+def test_encoding_leaves_no_codec_in_the_workers(spark, docs):
+    """Not only the stretches: the tests of pairs that a codec remembers stay no longer than its task either."""
+
+    def held(batches):
+        from ledgerlane.llm import pieces
+
+        for batch in batches:
+            yield pieces.pa.RecordBatch.from_arrays([pieces.pa.array([len(pieces._CODECS)] * batch.num_rows, pieces.pa.int64())], names=["n"])
+
+    corpus_pipeline.ship(spark)
+    df = docs([f"word{k} and some more of them" for k in range(40)]).repartition(8)
+    out = corpus_pipeline.encoded(spark, df, SF)
+    assert all(r.decoded_text == r.text for r in out.collect())
+    assert {r.n for r in spark.range(0, 64, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_stages_stand_edge_cases(spark, docs):
     cases = [None, "", " ", "w " * 30, "w " * 30, "a mail to joe@mail.example.com " * 3]
     for _, stage in corpus_pipeline.STAGES[:-1]:
