@@ -364,3 +364,15 @@ def test_next_words_are_a_distribution():
         tails = np.array([[*head, k] for k in range(38)])
         before = score(np.array(head), np.array([len(head)]))[0] if head else 1.0
         assert score(tails.ravel(), np.arange(1, 39) * (len(head) + 1)).sum() == pytest.approx(before, rel=1e-4)
+
+
+def test_language_model_keeps_no_table_it_has_read(docs, monkeypatch):
+    """Tables that a later one holds as well do not lie beside it until the end of the run."""
+    import os
+
+    held, whole = {}, language_model.materialize
+    monkeypatch.setattr(language_model, "materialize", lambda df, label, **more: held.setdefault(label, whole(df, label, **more)))
+    rows = language_model.score_documents(docs(["a b c a b", "b c d", None, "zz a b"] * 6)).collect()
+    left = {label: [p for p in df.inputFiles() if os.path.exists(p.split(":", 1)[1])] for label, df in held.items()}
+    assert len(rows) == 24 and all(r.score < 0 for r in rows)
+    assert {label for label, files in left.items() if files} == {"word-values"} and len(left) > 3
