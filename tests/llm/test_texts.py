@@ -376,3 +376,53 @@ def test_language_model_keeps_no_table_it_has_read(docs, monkeypatch):
     left = {label: [p for p in df.inputFiles() if os.path.exists(p.split(":", 1)[1])] for label, df in held.items()}
     assert len(rows) == 24 and all(r.score < 0 for r in rows)
     assert {label for label, files in left.items() if files} == {"word-values"} and len(left) > 3
+
+
+def test_long_texts_are_scored_in_bounded_memory():
+    """What lies in memory for a token does not include all inputs of all its decisions at once."""
+    import tracemalloc
+
+    n = 1 << 16
+    shares = language_model.Shares({50: 1, 7: 500, 3: 10_000, 1: 200_000})
+    numbers = np.random.default_rng(3).integers(0, shares.words + 1, n)
+    large, none = shares.odds(np.maximum(numbers, 1)), np.zeros((shares.depths, n), np.int16)
+    tracemalloc.start()
+    try:
+        score = language_model.known_scores(numbers, np.array([n]), large, [none] * language_model.REACH, shares)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.isfinite(score).all() and score[0] < 0 and peak < 600 * n
+
+
+def test_answers_hold_the_odds_of_every_decision():
+    """What a batch is told of its keys gives the log-odds of plain counting, though most decisions are left out."""
+    import math
+    from collections import Counter
+
+    rng = np.random.default_rng(9)
+    contexts, numbers = np.minimum(rng.zipf(1.3, 4000), 400), np.minimum(rng.zipf(1.3, 4000), 900)
+    keys, counts = np.unique(contexts.astype(np.uint64) << np.uint64(32) | numbers.astype(np.uint64), return_counts=True)
+    counts = np.where(rng.random(len(keys)) < 0.2, 0, counts * np.where(rng.random(len(keys)) < 0.05, 5000, 1))
+    depths = language_model.LENGTH_BITS + 10
+    path = lambda w: f"{w.bit_length() - 1:05b}" + f"{w:b}"[1:]
+    pairs, follow = [(int(k) >> 32, path(int(k) & 0xFFFFFFFF)) for k in keys], Counter()
+    for (c, way), n in zip(pairs, counts):
+        for at in range(len(way) + 1):
+            follow[c, way[:at]] += int(n)
+    odds = lambda a, b: round((math.log(a + 0.05) - math.log(b + 0.05)) * 512)
+    want = [[odds(follow[c, way[: at + 1]], follow[c, way[:at]] - follow[c, way[: at + 1]]) for at in range(len(way))] + [0] * (depths - len(way)) for c, way in pairs]
+    tables = language_model.path_odds(keys, counts, depths)
+    for some in (np.arange(len(keys)), np.flatnonzero(rng.random(len(keys)) < 0.3), np.arange(1), np.arange(0)):
+        sent = language_model._sent_odds(keys[some], *(x[some] for x in tables))
+        assert language_model.odds_from(sent, keys[some], depths).tolist() == [want[k] for k in some]
+
+
+def test_word_values_are_joined_as_they_lie(docs, monkeypatch):
+    """The last phase shuffles keys and answers, not the texts again."""
+    rows = []
+    whole = language_model.followed
+    monkeypatch.setattr(language_model, "followed", lambda *x: rows.append(whole(*x)) or rows[0])
+    language_model.score_documents(docs(["a b c a b", "b c d", None, "zz a b"] * 6))
+    plan = rows[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
