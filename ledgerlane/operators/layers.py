@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import materialize
+from ..session import discard, let_go, materialize
 from ..sources import folders
 
 BUCKET_BYTES = 128 << 20
@@ -175,10 +175,14 @@ class LayeredTable:
             rows.write.mode("overwrite").parquet(f"{self.path}/{layer.name}")
             return
         rows = rows.withColumn("bucket", self._bucket(layer))
+        staged = None
         if self.index_by:
-            rows = materialize(rows, "base")
+            rows = staged = materialize(rows, "base")
+            let_go(spark)
             rows.select(self.index_by, "bucket").distinct().write.mode("overwrite").parquet(f"{self.path}/index-{last}")
         rows.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/{layer.name}")
+        if staged is not None:
+            discard(staged)
 
     def _clear(self, spark: SparkSession, below: int) -> None:
         """Remove finished folders below batch ``below`` that no longer count, and halves of them."""

@@ -28,7 +28,7 @@ from ..operators.changes import net_changes, row_hash
 from ..operators.latest import latest_per_key
 from ..operators.layers import LayeredTable
 from ..operators.tables import NEW_SIDE, OLD_SIDE, paired
-from ..session import materialize
+from ..session import discard, let_go, materialize
 from .loader import start
 
 POSITION_KEY = ["customer_id", "stock_code"]
@@ -67,10 +67,15 @@ class PositionState:
         spark, columns = spark or batch.sparkSession, self.schema.fieldNames()
         self.table.merge(spark, number)
         changes = materialize(newest_changes(batch, POSITION_KEY).select(*columns), "changes", reader=spark)
+        let_go(spark)
         before = self.table.rows(spark, number, changes.select(*POSITION_KEY))
         wins = F.col(OLD_SIDE).isNull() | (F.col(f"{NEW_SIDE}.seq") >= F.col(f"{OLD_SIDE}.seq"))
         moved = paired(before, changes, POSITION_KEY).filter(F.col(NEW_SIDE).isNotNull() & wins)
-        return self.table.write(moved.select(f"{NEW_SIDE}.*", OLD_SIDE, NEW_SIDE), number).select(*POSITION_KEY, OLD_SIDE, NEW_SIDE)
+        # A row of the layer is its own new side.
+        written = self.table.write(moved.select(f"{NEW_SIDE}.*", OLD_SIDE), number)
+        discard(changes)
+        let_go(spark)
+        return written.select(*POSITION_KEY, OLD_SIDE, F.struct(*columns).alias(NEW_SIDE))
 
 
 @dataclass
@@ -270,7 +275,9 @@ def change_log_sink(changes: DataFrame, state: PositionState, log_path: str, che
         moved = state.take(batch, batch_id, spark)
         old, new = (moved.filter(F.col(s).isNotNull()).select(f"{s}.*").filter(~F.col("deleted")).drop("seq", "deleted") for s in (OLD_SIDE, NEW_SIDE))
         found = net_changes(old, new, POSITION_KEY).withColumn("change_timestamp", F.current_timestamp())
-        found.write.mode("overwrite").parquet(f"{log_path}/batch_id={batch_id}")
+        # Half of the bytes are hashes in hexadecimal, of which this takes half.
+        found.write.mode("overwrite").option("compression", "zstd").parquet(f"{log_path}/batch_id={batch_id}")
+        let_go(spark)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(record)
     return start(writer, trigger)

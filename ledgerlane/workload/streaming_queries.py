@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ..session import materialize, workspace
+from ..session import discard, materialize, workspace
+from ..sources import folders
 from ..streaming import changefeed as cf
 from .registry import query
 from .roles import POS, Roles, dbl, mean, pct
@@ -37,6 +38,7 @@ def write_feed(r: Roles) -> tuple[str, StructType]:
     path = workspace(r.spark, "feed")
     for rows in (change(1, base), change(2, updated), change(3, removed, True).unionByName(late)):
         rows.write.mode("append").parquet(path)
+    discard(base)
     return path, r.spark.read.parquet(path).schema
 
 
@@ -114,7 +116,9 @@ def inc_change_log(r: Roles) -> DataFrame:
     # One stage of the feed a batch, so that no step is netted away.
     for stage in range(1, 4):
         rows = r.spark.read.parquet(path).filter((F.col("seq") == stage) if stage < 3 else (F.col("seq") == 3) | ((F.col("seq") == 1) & (F.col("stock_code") % 21 == 0)))
-        rows.write.mode("append").parquet(f"{base}/feed/stage={stage}")
+        rows.write.mode("append").option("compression", "zstd").parquet(f"{base}/feed/stage={stage}")
+        if stage == 3:
+            folders.remove(r.spark, path)
         feed = r.spark.readStream.schema(schema).parquet(f"{base}/feed/stage=*")
         cf.change_log_sink(feed, state, f"{base}/log", f"{base}/checkpoint").awaitTermination()
     log = r.spark.read.parquet(f"{base}/log")

@@ -183,6 +183,27 @@ def test_change_log_and_repeated_batch(spark, tmp_path):
     assert again.count() == 9 and state.live(spark).count() == 27
 
 
+def test_change_log_leaves_no_table_that_is_done_with(spark, tmp_path, monkeypatch):
+    """Changes and the rows of a new base are removed once they are in the layers; a layer holds the new side once, the log is packed."""
+    from ledgerlane.operators import layers
+
+    written, whole = [], cf.materialize
+    for part in (cf, layers):
+        monkeypatch.setattr(part, "materialize", lambda df, label, **more: written.append(out := whole(df, label, **more)) or out)
+    monkeypatch.setattr(layers, "MERGE_LAYERS", 1)
+    state = cf.PositionState(str(tmp_path / "state"), feed_schema(spark))
+    rows = feed_rows()
+    for n, part in enumerate((rows[:30], rows[30:], rows[30:])):
+        spark.createDataFrame(part, FEED).write.mode("append").parquet(str(tmp_path / "feed"))
+        feed = spark.readStream.schema(FEED).parquet(str(tmp_path / "feed"))
+        cf.change_log_sink(feed, state, str(tmp_path / "log"), str(tmp_path / "ck")).awaitTermination()
+    files = [f.removeprefix("file://") for df in written for f in df.inputFiles()]
+    assert len(written) >= 4 and not [f for f in files if os.path.exists(f)]
+    assert all("__new" not in spark.read.parquet(str(p)).columns for p in (tmp_path / "state").glob("layer-*"))
+    assert all(".zstd." in p.name for p in (tmp_path / "log").rglob("part-*"))
+    assert state.live(spark).count() == 27
+
+
 def test_files_are_loaded_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     b.write(tmp_path / "in" / "a.csv", b.price_file_lines())
