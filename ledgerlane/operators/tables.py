@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import materialize
+from ..session import discard, materialize
 from ..sources import folders
 from .latest import latest_per_key
 
@@ -161,6 +161,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str], stage:
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if stage:
+        discard(rows)
 
 
 def delete_stored(spark: SparkSession, path: str, predicate: Column, partition_by: list[str]) -> None:

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.layers import LayeredTable
-from ..operators.tables import replace_partitions, table_exists, upsert
-from ..session import materialize
+from ..operators.tables import missing_rows, replace_partitions, table_exists, upsert
+from ..session import discard, let_go, materialize
 from ..sources.delimited import CsvFormat, fields
 from ..sources.ledger import NEW, LoadLedger, load_new_files, loaded_rows
 from ..sources.sinks import with_defaults
@@ -69,11 +69,22 @@ def _stored(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
 
 
 def upsert_day(path: str, rows: DataFrame, keys: list[str], date_column: str, as_of: Column, now: Column) -> DataFrame:
-    """Merge the day's rows into a table partitioned by date; returns the day as stored."""
+    """Merge the day's rows into a table partitioned by date; returns the day as stored.
+
+    Both have the same columns, so an old row stays as it is or goes whole. Which ones stay is found by the keys alone, and whole
+    rows are not joined. Each step is written, and its shuffles are let go, before the next.
+    """
     spark = rows.sparkSession
-    stamped = rows.withColumn("load_timestamp", now.cast("timestamp"))
+    stamped = materialize(rows.withColumn("load_timestamp", now.cast("timestamp")), "day-rows", compression="zstd")
+    let_go(spark)
     old = _stored(spark, path, stamped).filter(F.col(date_column) == as_of)
-    replace_partitions(upsert(old, stamped, keys, ("load_timestamp", now.cast("timestamp"))), path, [date_column], rebalance=False)
+    left = materialize(missing_rows(stamped, old.select(*keys), keys).select(*[F.col(k).alias(f"__left_{k}") for k in keys]), "left-keys")
+    kept = old.join(left, [F.col(k).eqNullSafe(F.col(f"__left_{k}")) for k in keys], "left_semi")
+    taken = upsert(old.limit(0), stamped, keys, ("load_timestamp", now.cast("timestamp")))
+    replace_partitions(kept.unionByName(taken), path, [date_column], rebalance=False)
+    for table in (stamped, left):
+        discard(table)
+    let_go(spark)
     return _stored(spark, path, stamped).filter(F.col(date_column) == as_of)
 
 

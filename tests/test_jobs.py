@@ -7,6 +7,7 @@ import shutil
 from decimal import Decimal
 
 import brokerage as b
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.layers import LayeredTable
@@ -204,6 +205,26 @@ def test_change_log_leaves_no_table_that_is_done_with(spark, tmp_path, monkeypat
     assert state.live(spark).count() == 27
 
 
+def test_day_is_merged_by_keys(spark, tmp_path, monkeypatch):
+    """Whole rows of the old day are not joined with the new ones; rows aside are removed; a NULL key finds its row; a repeated key fails."""
+    from ledgerlane.operators import tables as tb
+
+    written, whole = {}, tb.materialize
+    for part in (daily, tb):
+        monkeypatch.setattr(part, "materialize", lambda df, label, **more: written.setdefault((label, len(written)), whole(df, label, **more)))
+    path, day, clock = str(tmp_path / "t"), F.lit("2026-03-11").cast("date"), [F.lit(f"2026-03-11 0{h}:00:00").cast("timestamp") for h in range(3)]
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v int").withColumn("d", day)
+    daily.upsert_day(path, frame([("a", 1), ("b", 2), (None, 3)]), ["d", "k"], "d", day, clock[0])
+    daily.upsert_day(path, frame([("z", 9)]).withColumn("d", F.date_add(day, 1)), ["d", "k"], "d", F.date_add(day, 1), clock[0])
+    got = daily.upsert_day(path, frame([("b", 5), (None, None), ("c", 7)]), ["d", "k"], "d", day, clock[1])
+    assert {(r.k, r.v, r.load_timestamp.hour) for r in got.collect()} == {("a", 1, 0), ("b", 5, 1), (None, None, 1), ("c", 7, 1)} and got.count() == 4
+    assert {r.d for r in spark.read.parquet(path).filter("k = 'z'").collect()} == {dt.date(2026, 3, 12)}
+    assert {label for label, _ in written} == {"day-rows", "left-keys", "staged"} and all(df.columns == ["__left_d", "__left_k"] for (label, _), df in written.items() if label == "left-keys")
+    assert not [f for df in written.values() for f in df.inputFiles() if os.path.exists(f.removeprefix("file://"))]
+    with pytest.raises(Exception, match="several source rows for key d=2026-03-11, k=b"):
+        daily.upsert_day(path, frame([("b", 5), ("b", 6)]), ["d", "k"], "d", day, clock[2])
+
+
 def test_files_are_loaded_once(spark, tmp_path):
     (tmp_path / "in").mkdir()
     b.write(tmp_path / "in" / "a.csv", b.price_file_lines())
