@@ -1,5 +1,6 @@
 """Operators that hold texts against each other, against plain Python."""
 
+import os
 import random
 
 import pytest
@@ -53,6 +54,52 @@ def test_join_writes_few_bytes_and_slices_batches(docs, monkeypatch):
     assert [b.column(0).to_pylist() for b in cut] == [[1, 2], [3], [4]]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_bitmaps_rule_out_no_link(percent):
+    """Sets of all sizes that share a part: every pair that links may link, most of those that share little may not."""
+    random.seed(percent)
+    draw = lambda n: {random.getrandbits(64) for _ in range(n)}
+    few = met = 0
+    for n in [1, 2, 5, 63, 64, 65, 200, 512, 513, 900, 3000] * 12:
+        common, apart = draw(n), random.choice([0.0, 0.02, 0.1, 0.2, 0.25, 1.0])
+        x, y = ({*common, *draw(int(n * apart * random.random()))} for _ in range(2))
+        if apart == 1.0 and n > 64:
+            x, y, few = x - set(sorted(common)[: n // 2]), y, few + 1
+        one, two = (jaccard_join.np.array(sorted(s), jaccard_join.np.uint64) for s in (x, y))
+        likely = jaccard_join.may_link(jaccard_join.parity(one), jaccard_join.parity(two), len(one), len(two), percent)
+        assert likely == jaccard_join.may_link(jaccard_join.parity(two), jaccard_join.parity(one), len(two), len(one), percent)
+        assert likely or 100 * len(x & y) < percent * len(x | y)
+        met += likely and apart == 1.0 and n > 64
+    assert met < few / 4
+
+
+def test_join_keeps_no_table_that_is_done_with(spark, docs, monkeypatch):
+    """Shuffles are let go before the texts are joined; texts, signatures and pairs go once the links are written. Texts are not shuffled for few ids."""
+    steps, written, whole = [], {}, jaccard_join.materialize
+
+    def watched(df, label, **more):
+        steps.append(label)
+        written[label] = whole(df, label, **more)
+        if label == "wanted-texts":
+            assert "ShuffledHashJoin" not in (plan := df._jdf.queryExecution().executedPlan().toString()) and "BroadcastHashJoin" in plan
+        return written[label]
+
+    monkeypatch.setattr(jaccard_join, "materialize", watched)
+    monkeypatch.setattr(jaccard_join, "let_go", lambda _: steps.append("let go"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = near_copies(seed=6)
+        got = {r.id: (r.n_shingles, r.component) for r in jaccard_join.jaccard_components(docs(texts), 5, 80).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute.components(list(enumerate(texts)), 5, 80)
+    for label in ("shared-signatures", "candidate-pairs", "wanted-texts", "links"):
+        assert steps[steps.index(label) + 1] == "let go"
+    left = {label for label, df in written.items() if any(os.path.exists(f.removeprefix("file://")) for f in df.inputFiles())}
+    assert left & {"shared-signatures", "candidate-pairs", "likely-pairs", "wanted-texts"} == set() and "set-classes" in left
+
+
 def test_small_tables_are_few_files(spark, docs, monkeypatch):
     """Tables of ids do not become a file, which costs two processes on a local disk, for every one of many shuffle partitions."""
     import ledgerlane.llm.components as stars
