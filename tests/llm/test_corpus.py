@@ -100,6 +100,25 @@ def test_join_keeps_no_table_that_is_done_with(spark, docs, monkeypatch):
     assert left & {"shared-signatures", "candidate-pairs", "likely-pairs", "wanted-texts"} == set() and "set-classes" in left
 
 
+def test_rows_of_a_group_go_without_a_shuffle_of_texts(spark, docs):
+    """Few rows go, so their keys are sent to every task; beyond the bound the texts are shuffled, with the same result."""
+    before, bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), jaccard_join.BROADCAST_IDS
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    texts, found = near_copies(seed=7, groups=4), []
+    try:
+        for most in (bound, 0):
+            jaccard_join.BROADCAST_IDS = most
+            left = corpus_pipeline.one_of_each_group(spark, docs(texts), "")
+            plan = left._jdf.queryExecution().executedPlan().toString()
+            assert ("BroadcastHashJoin" in plan) == (most > 0) and ("Exchange hashpartitioning" in plan) == (most == 0)
+            found.append(sorted(r.doc_id for r in left.collect()))
+    finally:
+        jaccard_join.BROADCAST_IDS = bound
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    heads = brute.components(list(enumerate(texts)), corpus_pipeline.SHINGLE, corpus_pipeline.PERCENT)
+    assert found[0] == found[1] == [i for i in range(len(texts)) if heads[i][1] in (i, None)]
+
+
 def test_small_tables_are_few_files(spark, docs, monkeypatch):
     """Tables of ids do not become a file, which costs two processes on a local disk, for every one of many shuffle partitions."""
     import ledgerlane.llm.components as stars
